@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, url_filters
+from . import minhash, secrets, url_filters
 
 #: Rules of the URL query: host, path, action.
 URL_RULES = [
@@ -27,6 +27,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest_columns(F.col("spans")).items()])
@@ -34,6 +38,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op9_secret_scans": op9_secret_scans,
 }
 
@@ -97,4 +102,24 @@ FROM d LEFT JOIN summed USING (rid)
 """
 
 
+
+
+def near_duplicate_sql(shingle: int, percent: int) -> str:
+    """All pairs by brute force, then components by recursion."""
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + {shingle - 1}) AS sh
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {shingle - 1}, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM c JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * common >= {percent} * (x.n + y.n - common)),
+r(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
+m AS (SELECT u, least(u, min(v)) AS component_id FROM r GROUP BY u)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, d.doc_id = coalesce(component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.u = d.doc_id
+"""
+
+
+ORACLES["op2_minhash_near_dedup"] = near_duplicate_sql(3, 85)
 ORACLES["op9_secret_scans"] = _secret_sql()
