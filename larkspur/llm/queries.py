@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, secrets, url_filters
+from . import decontaminate, katz, minhash, secrets, url_filters
+from .common import fold_of
 
 #: Rules of the URL query: host, path, action.
 URL_RULES = [
@@ -31,15 +32,34 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort("items"), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(items.cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest_columns(F.col("spans")).items()])
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), held_out=fold_of(F.col("doc_id")) == 1)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -123,3 +143,20 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.u = d.doc_id
 
 ORACLES["op2_minhash_near_dedup"] = near_duplicate_sql(3, 85)
 ORACLES["op9_secret_scans"] = _secret_sql()
+
+
+ORACLES["op4_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, list_slice(ws, i, i + least(len(ws), 10) - 1) AS win, least(len(ws), 10) AS n
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+spot AS (SELECT rid, n, i, list_slice(ws, i, i + n - 1) AS win
+       FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n)),
+hits AS (SELECT rid, i, spot.n, item_id FROM spot JOIN win ON spot.win = win.win AND spot.n = win.n),
+spots AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM hits) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spots USING (rid) LEFT JOIN found USING (rid)
+"""
