@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, katz, minhash, secrets, url_filters
+from . import decontaminate, katz, minhash, pieces, secrets, url_filters
 from .common import fold_of
 
 #: Rules of the URL query: host, path, action.
@@ -32,6 +32,22 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+#: The public tokenizer the query encodes with; any SentencePiece model file will do.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text, decode its ids, and hold the result against it."""
+    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL), PIECE_MODEL)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort("items"), ",")
@@ -57,6 +73,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_lm_scoring": op10_lm_scoring,
