@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, katz, minhash, pieces, secrets, url_filters
+from . import caps, decontaminate, katz, minhash, pieces, secrets, url_filters
 from .common import fold_of
 
 #: Rules of the URL query: host, path, action.
@@ -61,6 +61,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest_columns(F.col("spans")).items()])
@@ -75,6 +79,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op9_secret_scans": op9_secret_scans,
     "op10_lm_scoring": op10_lm_scoring,
 }
@@ -177,3 +182,14 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN spots USING (rid) LEFT JOIN found USING (rid)
 """
+
+ORACLES["op7_embedding_near_dedup"] = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0
+      WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
+r(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
+m AS (SELECT u, least(u, min(v)) AS component_id FROM r GROUP BY u),
+c AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM e LEFT JOIN m ON m.u = vec_id LEFT JOIN c ON c.u = vec_id
+"""
