@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, decontaminate, katz, minhash, pieces, secrets, url_filters
+from . import caps, decontaminate, html_main, katz, minhash, pieces, secrets, url_filters
 from .common import fold_of
 
 #: Rules of the URL query: host, path, action.
@@ -65,6 +65,10 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest_columns(F.col("spans")).items()])
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_secret_scans": op9_secret_scans,
     "op10_lm_scoring": op10_lm_scoring,
 }
