@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, decontaminate, html_main, katz, minhash, pieces, secrets, url_filters
+from . import caps, decontaminate, html_main, katz, minhash, pieces, quality, secrets, toxicity, url_filters
 from .common import fold_of
 
 #: Rules of the URL query: host, path, action.
@@ -61,6 +61,21 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _predictions(scored: DataFrame, least: float) -> DataFrame:
+    held = fold_of(F.col("doc_id")) == 0
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predictions(toxicity.score(docs, toxicity.learned(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predictions(quality.score(docs, quality.learned(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +98,8 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_secret_scans": op9_secret_scans,
