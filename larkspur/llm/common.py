@@ -7,8 +7,12 @@ import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .text import slices
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -72,3 +76,26 @@ def fold_of(doc_id: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def passing(df: DataFrame, text_col: str, kind: T.DataType, work) -> tuple[DataFrame, str]:
+    """``df`` with one more column, made by ``work(texts)`` from whole Arrow
+    arrays of its texts, and that column's name."""
+    out = unused(df, "made")
+    names, at = df.columns, df.columns.index(text_col)
+    flat = df.toDF(*[f"c{i}" for i in range(len(names))])
+    schema = T.StructType([*flat.schema.fields, T.StructField(out, kind)])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, f"c{at}"):
+                yield pa.RecordBatch.from_arrays([*part.columns, work(part.column(at))], [*part.schema.names, out])
+
+    return flat.mapInArrow(run, schema).toDF(*names, out), out

@@ -7,14 +7,14 @@ normalised text once.  Offsets of hits are mapped back to the original text.
 
 from __future__ import annotations
 
-import hashlib
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import passing
 from .text import ALNUM, slices, translated
 
 #: The automaton is shipped to every executor, so its source is checked: bytes of normalised benchmark text.
@@ -140,5 +140,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return out.withColumnRenamed("id", id_col)
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_cols: tuple[str, ...] = ("text",), window: int = 10) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, with all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(_benchmark_windows(benchmark, item_col, list(item_text_cols), window))
+    built: list = []
+
+    def clean(texts: pa.Array) -> pa.Array:
+        windows = shared.value
+        if not built:
+            built.append(build(windows))
+        return pa.array([not windows or next(built[0].iter(f" {b' '.join(raw.split()).decode('latin-1')} "), None) is None for raw in translated(texts, ALNUM).to_pylist()])
+
+    flagged, name = passing(docs, text_col, T.BooleanType(), clean)
+    return flagged.where(F.col(name)).drop(name)
+

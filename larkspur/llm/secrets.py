@@ -22,6 +22,7 @@ HEX = r"[0-9a-f]{24,}"
 BLOB = r"[A-Za-z0-9+/_]{32,}"
 KINDS = ("assign", "access", "hex", "blob")
 
+JUDGED = "array<struct<start:bigint,kind:int,end:bigint,digest:string,owners:bigint,repos:bigint,live:boolean>>"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint,digest:string>>"
 
 
@@ -63,43 +64,76 @@ def candidates(text: Column) -> Column:
     return F.array_sort(F.concat(*every))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int = 2, max_repos: int = 4) -> DataFrame:
-    """One row for each document: id, spans (start, end in code points, kind,
-    digest of the value, base, owners, repos, live).
-
-    Base kinds (assign, access, hex) always stay.  A blob is a span only when
-    it is owner-specific: at most ``max_owners`` owners and ``max_repos``
-    repositories hold the value anywhere in the corpus, and no base span
-    begins or ends where it does.  ``live`` says the same of every span.
-
-    Null and empty texts have no spans.  Null owners or repositories count as
-    one unknown owner or repository.  Repeated ids and rows stay apart.  Other
-    columns are not read.  The values themselves never leave the scan, only
-    their digests.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = written(
+def _found(docs: DataFrame, text_col: str, repo_col: str, owner_col: str, carried: dict[str, Column]) -> DataFrame:
+    """Each document's candidates, in the shared folder."""
+    return written(
         docs.select(
             F.monotonically_increasing_id().alias("uid"),
-            F.col(id_col).alias("id"),
+            *[c.alias(n) for n, c in carried.items()],
             F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"),
             F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
-            candidates(text).alias("spans"),
+            candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"),
         ),
         "secrets",
     )
+
+
+def _judged(found: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
+    """(uid, judged) of the documents that have candidates: how many owners and
+    repositories hold each value anywhere in the corpus, and the verdict."""
     each = found.where(F.size("spans") > 0).select("uid", "repo", "owner", F.explode("spans").alias("s")).select("uid", "repo", "owner", "s.*")
     pairs = each.groupBy("digest", "owner", "repo").agg(F.lit(1).alias("one"))
     owners = pairs.groupBy("digest", "owner").agg(F.count("*").alias("repos")).groupBy("digest").agg(F.count("*").alias("owners"))
     repos = pairs.groupBy("digest", "repo").agg(F.count("*").alias("n")).groupBy("digest").agg(F.count("*").alias("repos"))
     held = owners.join(repos, "digest")
     live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    judged = each.drop("repo", "owner").join(held, "digest").groupBy("uid").agg(
-        F.collect_list(F.struct("start", "kind", "end", "digest", "owners", "repos", live.alias("live"))).alias("judged")
+    return each.drop("repo", "owner").join(held, "digest").groupBy("uid").agg(
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "digest", "owners", "repos", live.alias("live")))).alias("judged")
     )
-    typed = "array<struct<start:bigint,kind:int,end:bigint,digest:string,owners:bigint,repos:bigint,live:boolean>>"
-    both = found.select("uid", "id").join(judged, "uid", "left").select("id", F.array_sort(F.coalesce("judged", F.array().cast(typed))).alias("judged"))
-    return both.select(F.col("id").alias(id_col), _settled(F.col("judged")).alias("spans"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int = 2, max_repos: int = 4) -> DataFrame:
+    """One row for each document: id, spans (start, end in code points, kind,
+    digest of the value, owners, repos, live).
+
+    Base kinds (assign, access, hex) always stay.  A blob is a span only when
+    it is owner-specific: at most ``max_owners`` owners and ``max_repos``
+    repositories hold the value anywhere in the corpus, and no base span
+    begins or ends where it does.  ``live`` says the same of every span.
+
+    Null and empty texts have no spans.  Null owners or repositories count as
+    one unknown owner or repository.  Repeated ids and rows stay apart.  Other
+    columns are not read.  The values themselves never leave the scan, only
+    their digests.
+    """
+    found = _found(docs, text_col, repo_col, owner_col, {"id": F.col(id_col)})
+    both = found.select("uid", "id").join(_judged(found, max_owners, max_repos), "uid", "left")
+    return both.select(F.col("id").alias(id_col), _settled(F.coalesce("judged", F.array().cast(JUDGED))).alias("spans"))
+
+
+def redacted(docs: DataFrame, text_col: str = "text", repo_col: str = "source", owner_col: str = "source", length_col: str | None = "n_chars", mark: str = "[SECRET]", max_owners: int = 2, max_repos: int = 4) -> DataFrame:
+    """``docs`` with every span of ``scan`` replaced by ``mark``; overlapping
+    spans are replaced together.  ``length_col``, where there is one, becomes
+    the new length in code points.  Rows without a candidate stay as they are
+    and are not shuffled."""
+    names = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    found = _found(docs, text_col, repo_col, owner_col, {n: F.col(f"`{c}`") for n, c in names.items()})
+    back = [F.col(n).alias(c) for n, c in names.items()]
+    text = F.col(next(n for n, c in names.items() if c == text_col))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        kept = F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        fresh = s["start"] >= acc["at"]
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+
+    whole = F.aggregate(_settled(F.col("judged")), start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    changed = found.where(F.size("spans") > 0).join(_judged(found, max_owners, max_repos), "uid").withColumn("new", whole)
+    renewed = []
+    for n, c in names.items():
+        new = F.col("new") if c == text_col else F.length("new").cast(docs.schema[c].dataType) if c == length_col else F.col(n)
+        renewed.append(F.when(F.size(_settled(F.col("judged"))) > 0, new).otherwise(F.col(n)).alias(c))
+    return found.where(F.size("spans") == 0).select(*back).union(changed.select(*renewed))
 
 
 def _settled(judged: Column) -> Column:

@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import learn
+from .common import passing
 from .text import SPACED, slices, words
 
 #: What a character of a disguised word may stand for, besides itself.
@@ -289,3 +291,10 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_score_batches(shared), f"id {kind}, score double")
     return out.withColumnRenamed("id", id_col)
+
+
+def without_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``, with all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored, name = passing(docs, text_col, T.DoubleType(), lambda texts: pa.array(shared.value.score(texts)))
+    return scored.where(F.col(name) < least).drop(name)
