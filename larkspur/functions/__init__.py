@@ -1 +1 @@
-
+"""Expressions and how they become Spark columns."""

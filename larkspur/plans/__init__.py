@@ -1 +1 @@
-
+"""Queries, and the catalogue of registered ones."""

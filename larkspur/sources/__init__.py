@@ -1 +1 @@
-
+"""Tables from files."""

@@ -1 +1 @@
-
+"""Streams: the engine's expressions over Structured Streaming (an extension)."""
