@@ -26,8 +26,11 @@ from .text import slices, translated
 
 MARK = "▁"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*")
-#: Encoded words a worker remembers between batches.
-REMEMBERED = 200_000
+#: Encoded words, and judged neighbours, that a worker remembers between batches.
+REMEMBERED = 100_000
+FITS = 400_000
+#: Bytes of text at once: ids take some ten times as much while they are put in place.
+TEXT_BYTES = 2_000_000
 _SAME = bytes(range(256))
 _UNKNOWN = -1
 
@@ -80,6 +83,8 @@ class Pieces:
         """Whether ``piece`` may follow ``before`` (unknown: a hard edge)."""
         key = (before + 1) << 32 | piece
         if key not in self.fits:
+            if len(self.fits) >= FITS:
+                self.fits.clear()
             if before == _UNKNOWN:
                 self.fits[key] = self.merged(self.text[piece]) == [piece]
             else:
@@ -229,13 +234,18 @@ def _map(shared, kind, column, out, work):
     def run(batches):
         pieces = _pieces(shared, kind)
         for batch in batches:
-            for part in slices(batch, column) if column == "text" else [batch]:
+            for part in slices(batch, column, TEXT_BYTES) if column == "text" else _runs(batch):
                 new = work(pieces, part.column(column))
                 yield pa.RecordBatch.from_arrays([*part.columns, new], [*part.schema.names, out])
 
     return run
 
 
+def _runs(batch: pa.RecordBatch, rows: int = 256):
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def load(spark, model_path: str):
     """The model file, read by the driver and shipped (its size is that of a
     vocabulary, fixed for all inputs)."""
@@ -254,6 +264,23 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "ids")
 
 
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe") -> DataFrame:
+    """(id, ids, same) for each row of ``docs``: ``encode`` and ``decode`` in
+    one pass, and whether the ids give the text back (null as empty)."""
+    shared = load(docs.sparkSession, model_path)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+    def run(batches):
+        pieces = _pieces(shared, kind)
+        for batch in batches:
+            for part in slices(batch, "text", TEXT_BYTES):
+                ids = encode_texts(pieces, part.column("text"))
+                same = pc.equal(decode_ids(pieces, ids), pc.fill_null(part.column("text"), "").cast(pa.large_string()))
+                yield pa.RecordBatch.from_arrays([part.column("id"), ids, same], ["id", "ids", "same"])
+
+    return source.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, ids array<int>, same boolean").withColumnRenamed("id", id_col)
+
+
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded", kind: str = "bpe") -> DataFrame:
     """All columns of ``encoded`` and the text of its ids.  Null or empty lists
     give an empty text; bytes that are no UTF-8 become replacement characters;
