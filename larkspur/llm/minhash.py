@@ -6,9 +6,8 @@ empty bins borrow by optimal densification.  Bands of the sketch are buckets.
 Each bucket gives star-shaped candidate edges: from a centre to the members
 that are not yet in its component; edges are confirmed on the full shingle
 sets.  Buckets that still hold several components go on with other centres,
-until every pair of a bucket has either been compared or lies in one component.
-So no bucket is expanded into all its pairs, and no link between bucket mates
-is lost.
+until every pair of a bucket has been compared, cannot be linked by an exact
+bound, or lies in one component.  So no link between bucket mates is lost.
 """
 
 from __future__ import annotations
@@ -17,13 +16,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import graph
-from .common import drop, sized, written
+from .common import drop, passing, sized, written
 from .text import mix, shingle_sets, slices
 
 BINS = 256
 ROWS = 5
+#: Cells of the bound on shared shingles.
+CELLS = 512
+#: Centres of a bucket in the second round; each later one has eight times as many.
+SLOTS = 64
 #: Candidate ids up to this number are broadcast; beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -71,7 +75,7 @@ def _nodes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(sums[offsets[1:]] - sums[offsets[:-1]] + sizes.astype(np.uint64)).view(np.int64)
 
 
-def _sketch_batches(size: int, id_type: pa.DataType):
+def _sketch_batches(size: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -108,6 +112,26 @@ def _set_batches(size: int):
     return run
 
 
+_BITS = [f"b{i}" for i in range(2 * CELLS // 64)]
+
+
+def _bound_batches(batches):
+    """(node, size, private shingles, overflow, bits): a cell's first bit says
+    that it holds a shingle, its second that it holds two; the overflow counts
+    the shingles beyond."""
+    for batch in batches:
+        rows = []
+        for node, hashes, private in zip(batch.column("node").to_pylist(), batch.column("hashes"), batch.column("private")):
+            own = hashes.values.to_numpy()
+            u = len(private.values) if private.is_valid else 0
+            shared = np.setdiff1d(own, private.values.to_numpy(), assume_unique=True) if u else own
+            count = np.bincount((shared.view(np.uint64) >> np.uint64(7)) % np.uint64(CELLS), minlength=CELLS)
+            bits = np.packbits(np.concatenate([count > 0, count > 1])).view(np.int64)
+            rows.append((node, len(own), u, int(np.maximum(count - 2, 0).sum()), *bits.tolist()))
+        columns = list(zip(*rows)) if rows else [()] * (4 + len(_BITS))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "n", "u", "over", *_BITS])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -120,59 +144,104 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component; where no member has an id, component_id and kept are null.
     Other columns are not read.
     """
+    out = _judged(docs, id_col, text_col, shingle, percent)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sketched = written(source.mapInArrow(_sketch_batches(shingle, pa.int64()), "id bigint, n_shingles bigint, node bigint, bands array<bigint>"), "sketches")
+    sketched = written(source.mapInArrow(_sketch_batches(shingle), "id bigint, n_shingles bigint, node bigint, bands array<bigint>"), "sketches")
     links = _links(source, sketched, shingle, percent)
     comps = graph.components(links)
-    drop(links)
     nodes = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     grouped = nodes.join(comps, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     named = grouped.join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
     out = sketched.select("id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select("id", "n_shingles", "node", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one document of each group of near copies (the
+    smallest id), with all columns.  Rows without an id stay; rows that repeat
+    an id and its shingles stay once."""
+    judged = _judged(docs, id_col, text_col, shingle, percent)
+    gone = written(judged.where(~F.col("kept")).select("id", "node").distinct(), "gone")
+    if not docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").take(1):
+        return docs.join(sized(gone.select(F.col("id").alias(id_col)), BROADCAST_IDS), id_col, "left_anti").select(docs.columns)
+    # ids repeat: a row is known by its id and its shingle set
+    named, node = passing(docs, text_col, T.LongType(), lambda texts: _nodes_of(texts, shingle))
+    gone = gone.select(F.col("id").alias(id_col), F.col("node").alias(node))
+    left = named.join(sized(gone, BROADCAST_IDS), [id_col, node], "left_anti")
+    once = left.where(F.col(id_col).isNotNull() & F.col(node).isNotNull()).dropDuplicates([id_col, node])
+    return once.union(left.where(F.col(id_col).isNull() | F.col(node).isNull())).select(docs.columns)
+
+
+def _nodes_of(texts: pa.Array, shingle: int) -> pa.Array:
+    hashes, offsets = shingle_sets(texts, shingle)
+    return pa.array(_nodes(hashes, offsets), mask=np.diff(offsets) == 0)
 
 
 def _links(source: DataFrame, sketched: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """All confirmed links (u, v) needed for the components."""
+    """Confirmed links (u, v) that give the components of all links.
+
+    A node's private shingles are those that no other candidate holds; the rest
+    are counted in cells by hash, in unary up to two a cell.  Two nodes share
+    no more than the cells' lesser counts add up to, exactly, so nodes and pairs
+    beyond that bound are never compared; among many copies of one text it lets
+    through little more than the links.  The centre of a bucket is the node with
+    the least private share, the one that the others were copied from."""
     rows = sketched.where("node is not null").select("node", F.explode("bands").alias("band"))
-    # a bucket matters if it holds two different sets; the order of nodes differs from band to band
-    order = F.col("node").bitwiseXOR(F.xxhash64("band"))
-    busy = rows.groupBy("band").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).where("lo < hi").select("band")
+    # a bucket matters if it holds two different sets
+    busy = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
     members = written(rows.join(busy, "band").select("band", "node").distinct(), "members")
     sets = _full_sets(source, sketched, members, shingle)
-    links, comps, tested, pivots_per = None, None, None, 1
+    held = sets.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
+    private = held.where("holders = 1").groupBy("node").agg(F.collect_list("hash").alias("private"))
+    bounds = sets.join(private, "node", "left").mapInArrow(_bound_batches, "node bigint, n bigint, u bigint, over bigint, " + ", ".join(f"{b} bigint" for b in _BITS))
+    bounds = bounds.where((F.col("n") - F.col("u")) * 100 >= F.col("n") * percent)
+    known = ["n", "u", "over", *_BITS]
+    placed = written(members.join(bounds, "node").select("band", "node", *known, F.col("node").alias("comp")), "placed")
+    drop(members)
+    links: list[DataFrame] = []
+    tested: list[DataFrame] = []
+    slots = 1
     while True:
-        placed = members.withColumn("comp", F.col("node")).withColumn("degree", F.lit(0).cast("bigint")) if comps is None else (
-            members.join(comps, "node", "left").join(_degrees(links), "node", "left").select("band", "node", F.coalesce("component", "node").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
-        )
-        placed = written(placed, "placed")
-        split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        open_ = placed.join(split, "band")
-        slot = F.pmod(F.xxhash64("node", "band"), F.lit(pivots_per))
-        chosen = open_.groupBy("band", slot.alias("slot")).agg(F.max(F.struct("degree", F.col("node").bitwiseXOR(F.xxhash64("band")).alias("o"), "node", "comp")).alias("p"))
-        pivots = written(chosen.select("band", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
-        pairs = open_.join(pivots, "band").where("comp <> pivot_comp").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if not pairs.take(1) and not pivots.take(1):
+        parts = placed.groupBy("band", "comp").agg(F.count("*").alias("held"))
+        split = parts.groupBy("band").agg(F.max(F.struct("held", "comp")).alias("top"), F.sum("held").alias("total"), F.count("*").alias("comps")).where("comps > 1")
+        open_ = placed.join(split.select("band", F.col("top.comp").alias("top"), (F.col("total") - F.col("top.held") <= slots).alias("few")), "band")
+        # the first round has one centre for each bucket; later ones all members outside a bucket's largest component, if
+        # these are few, which settles the bucket, and else several centres
+        last_of_band = F.col("few") & F.lit(slots > 1)
+        slot = F.when(last_of_band, F.col("node")).otherwise(F.pmod(F.xxhash64("node", "band"), F.lit(slots)))
+        central = F.struct((F.col("u") * 1000 / F.col("n")).cast("int").alias("share"), F.xxhash64("node", "band").alias("o"), "node", "n", "over", *_BITS, "comp")
+        chosen = open_.where(~last_of_band | (F.col("comp") != F.col("top"))).groupBy("band", slot.alias("slot")).agg(F.min(central).alias("p"))
+        pivots = written(chosen.select("band", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "n", "over", *_BITS, "comp")]), "pivots")
+        if not pivots.take(1):
             break
+        most = sum((F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}"))) for b in _BITS), F.least("over", "p_over"))
+        possible = (F.col("comp") != F.col("p_comp")) & (most * 100 >= (F.col("n") + F.col("p_n") - most) * percent)
+        near = open_.join(pivots, "band").where(possible)
+        pairs = near.groupBy(F.least("node", "p_node").alias("u"), F.greatest("node", "p_node").alias("v")).agg(F.min("comp").alias("c1"), F.max("p_comp").alias("c2"))
+        for old in tested:
+            pairs = pairs.join(old.select("u", "v"), ["u", "v"], "left_anti")
+        pairs = written(pairs, "pairs")
+        tested.append(pairs)
         found = written(_confirmed(pairs, sets, percent), "links")
-        tested = pairs if tested is None else written(tested.union(pairs), "tested")
-        links = found if links is None else written(links.union(found), "links")
-        comps = graph.components(links)
-        members = written(placed.join(split, "band").join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"], "left_anti").select("band", "node"), "members")
-        drop(placed)
-        pivots_per = min(64, max(4, pivots_per * 4))
-    if links is None:
-        links = written(pairs, "links")
-    return links
-
-
-def _degrees(links: DataFrame) -> DataFrame:
-    ends = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node")))
-    return ends.groupBy("node").agg(F.count("*").alias("degree"))
+        links.append(found)
+        left = open_.where(~last_of_band).drop("top", "few").join(pivots.select("band", F.col("p_node").alias("node")), ["band", "node"], "left_anti")
+        if found.take(1):
+            merged = graph.components(found.select(F.col("c1").alias("u"), F.col("c2").alias("v"))).select(F.col("node").alias("comp"), "component")
+            left = left.join(merged, "comp", "left").withColumn("comp", F.coalesce("component", "comp"))
+        last, placed = placed, written(left.select("band", "node", *known, "comp"), "placed")
+        drop(last)
+        slots *= SLOTS if slots == 1 else 8
+    if not links:
+        return pivots.select(F.col("p_node").alias("u"), F.col("p_node").alias("v"))
+    every = links[0]
+    for more in links[1:]:
+        every = every.union(more)
+    return every.select("u", "v")
 
 
 def _full_sets(source: DataFrame, sketched: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
@@ -194,4 +263,4 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = F.size(F.array_intersect("hu", "hv")).cast("bigint")
     total = (F.size("hu") + F.size("hv")).cast("bigint")
     sizes = F.least(F.size("hu"), F.size("hv")).cast("bigint") * 100 >= F.greatest(F.size("hu"), F.size("hv")).cast("bigint") * percent
-    return pairs.join(a, "u").join(b, "v").where(sizes).where(both * 100 >= (total - both) * percent).select("u", "v")
+    return pairs.join(a, "u").join(b, "v").where(sizes).where(both * 100 >= (total - both) * percent).select("u", "v", "c1", "c2")

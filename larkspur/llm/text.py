@@ -21,7 +21,7 @@ SPACED = _bytes_table(lambda c: c not in _SPACE)
 ALNUM = _bytes_table(lambda c: c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8_000_000):
+def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
     """The batch in runs of rows whose texts have about ``most`` bytes at most
     (a longer text makes a run of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
