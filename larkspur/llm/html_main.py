@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|title|noscript|template|svg|textarea|iframe|object)\b[^>]*(?:>.*?(?:</(?P=raw)\b[^>]*(?:>|\Z)|\Z)|\Z)"
-    r"""|<(?P<tag>[a-zA-Z/!?](?>[^>"']+|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)"""
+    r"""|<(?P<tag>[a-zA-Z/!?](?>[^>"'=]+|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|["'=])*+)(?:>|\Z)"""
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
