@@ -25,7 +25,7 @@ from .text import SPACED, slices, words
 #: What a character of a disguised word may stand for, besides itself.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
 #: Longest disguised word that is decoded; longer runs are not words.
@@ -106,7 +106,7 @@ def decode(word: str, model: Letters) -> str:
             options = [(c, -0.05)]
         else:
             options = [(o, -1.0) for o in LEET.get(c, "")]
-            options += [("", -0.7)] if c in JOINS else [("", -4.0)] if options else [("", -3.0), (_RARE, -3.0)]
+            options += [("", -0.7)] if c in JOINS else [("", -12.0)] if options else [("", -3.0), (_RARE, -3.0)]
         if i and word[i - 1] == c and c.isalpha():
             long_run = i > 1 and word[i - 2] == c or word[i + 1 : i + 2] == c
             options.append(("", -0.2 if long_run else -3.0))
