@@ -17,6 +17,9 @@ from .text import slices
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+#: Whole texts travel to Python in batches: fewer rows at once while tables are written.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _own: dict[str, str] = {}
 
 
@@ -44,7 +47,12 @@ def written(df: DataFrame, tag: str, **options) -> DataFrame:
     the lineage, and a lost executor loses nothing of it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspur/{tag}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(before), 1000) if int(before) > 0 else 1000))
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._larkspur_path = path
     return out

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import graph
-from .common import drop, passing, sized, written
+from .common import drop, partitions, passing, sized, written
 from .text import mix, shingle_sets, slices
 
 BINS = 256
@@ -115,6 +115,28 @@ def _set_batches(size: int):
 _BITS = [f"b{i}" for i in range(2 * CELLS // 64)]
 
 
+def _run_batches(batches):
+    """(node, its hashes) of rows sorted by node: lists without row objects."""
+    rest_node, rest_hash = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def lists(nodes, hashes, starts):
+        ends = np.concatenate([starts, [len(nodes)]]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[starts]), pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes))], ["node", "private"])
+
+    for batch in batches:
+        nodes = np.concatenate([rest_node, batch.column("node").to_numpy()])
+        hashes = np.concatenate([rest_hash, batch.column("hash").to_numpy()])
+        if not len(nodes):
+            continue
+        starts = np.concatenate([[0], np.flatnonzero(nodes[1:] != nodes[:-1]) + 1])
+        last = starts[-1]  # the last node may go on in the next batch
+        if last:
+            yield lists(nodes[:last], hashes[:last], starts[:-1])
+        rest_node, rest_hash = nodes[last:], hashes[last:]
+    if len(rest_node):
+        yield lists(rest_node, rest_hash, np.zeros(1, np.int64))
+
+
 def _bound_batches(batches):
     """(node, size, private shingles, overflow, bits): a cell's first bit says
     that it holds a shingle, its second that it holds two; the overflow counts
@@ -197,7 +219,8 @@ def _links(source: DataFrame, sketched: DataFrame, shingle: int, percent: int) -
     members = written(rows.join(busy, "band").select("band", "node").distinct(), "members")
     sets = _full_sets(source, sketched, members, shingle)
     held = sets.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
-    private = held.where("holders = 1").groupBy("node").agg(F.collect_list("hash").alias("private"))
+    alone = held.where("holders = 1").select("node", "hash").repartition(partitions(source.sparkSession), "node").sortWithinPartitions("node")
+    private = alone.mapInArrow(_run_batches, "node bigint, private array<bigint>")
     bounds = sets.join(private, "node", "left").mapInArrow(_bound_batches, "node bigint, n bigint, u bigint, over bigint, " + ", ".join(f"{b} bigint" for b in _BITS))
     bounds = bounds.where((F.col("n") - F.col("u")) * 100 >= F.col("n") * percent)
     known = ["n", "u", "over", *_BITS]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,9 +23,27 @@ SPACED = _bytes_table(lambda c: c not in _SPACE)
 ALNUM = _bytes_table(lambda c: c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A)
 
 
+_lean: list = []
+
+
+def lean() -> None:
+    """Give freed memory back to the system: workers outlive their tasks, and
+    several share an executor's memory."""
+    if not _lean:
+        try:
+            libc = ctypes.CDLL(None)
+            libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays of a megabyte go back when freed
+            _lean.append(libc.malloc_trim)
+        except (AttributeError, OSError):  # another C library
+            _lean.append(lambda _: None)
+        pa.set_memory_pool(pa.system_memory_pool())
+    _lean[0](0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
     """The batch in runs of rows whose texts have about ``most`` bytes at most
     (a longer text makes a run of its own)."""
+    lean()
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     run = np.cumsum(sizes) // most
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
