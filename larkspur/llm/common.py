@@ -17,8 +17,8 @@ from .text import slices
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-#: Whole texts travel to Python in batches: fewer rows at once while tables are written.
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whole texts travel to Python in batches of at most so many rows.
+BATCH_ROWS = 1000
 
 _own: dict[str, str] = {}
 
@@ -42,17 +42,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch: ten thousand whole texts at
+    once, out and back, take more memory than a small executor has beside its
+    heap.  Spark reads the setting when a plan runs, so it stays lowered."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, tag: str, **options) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: it cuts
     the lineage, and a lost executor loses nothing of it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspur/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(int(before), 1000) if int(before) > 0 else 1000))
-    try:
-        df.write.options(**options).parquet(path)
-    finally:
-        spark.conf.set(BATCH_ROWS, before)
+    small_batches(spark)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._larkspur_path = path
     return out
@@ -70,7 +75,7 @@ def drop(df: DataFrame) -> None:
 def sized(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows (counted,
     never assumed); beyond that as it is, so that the join shuffles."""
-    return F.broadcast(df) if len(df.take(rows + 1)) <= rows and df.count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def ascii_lower(c: Column) -> Column:
@@ -96,6 +101,7 @@ def unused(df: DataFrame, name: str) -> str:
 def passing(df: DataFrame, text_col: str, kind: T.DataType, work) -> tuple[DataFrame, str]:
     """``df`` with one more column, made by ``work(texts)`` from whole Arrow
     arrays of its texts, and that column's name."""
+    small_batches(df.sparkSession)
     out = unused(df, "made")
     names, at = df.columns, df.columns.index(text_col)
     flat = df.toDF(*[f"c{i}" for i in range(len(names))])

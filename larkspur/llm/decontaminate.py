@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import passing
+from .common import passing, small_batches
 from .text import ALNUM, slices, translated
 
 #: Every task builds the automaton (some ten nodes for each byte of benchmark text), so the bytes are checked first.
@@ -134,6 +134,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     checked to be at most ``MAX_BENCHMARK_BYTES`` before it is shipped.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(_benchmark_windows(benchmark, item_col, list(item_text_cols), window))
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_scan_batches(shared, spans), SCHEMA.format(id=kind))

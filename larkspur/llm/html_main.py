@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|title|noscript|template|svg|textarea|iframe|object)\b[^>]*(?:>.*?(?:</(?P=raw)\b[^>]*(?:>|\Z)|\Z)|\Z)"
@@ -358,6 +360,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     are rows like others.  Other columns are not read.  The model is a few
     thousand weights, whatever the input.
     """
+    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model or labeller())
     kinds = dict(pages.dtypes)
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

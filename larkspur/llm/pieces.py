@@ -22,6 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .text import slices, translated
 
 MARK = "▁"
@@ -249,6 +250,7 @@ def _runs(batch: pa.RecordBatch, rows: int = 256):
 def load(spark, model_path: str):
     """The model file, read by the driver and shipped (its size is that of a
     vocabulary, fixed for all inputs)."""
+    small_batches(spark)
     with open(model_path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 

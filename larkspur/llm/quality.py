@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import learn, statistics
+from .common import small_batches
 from .text import slices
 
 Condition = tuple[int, bool, float]  # statistic, whether it is greater, threshold
@@ -143,6 +144,7 @@ def _stat_batches(extra: str):
 
 
 def with_statistics(df: DataFrame, extra: str) -> DataFrame:
+    small_batches(df.sparkSession)
     kind = dict(df.dtypes)[extra]
     return df.select(extra, "text").mapInArrow(_stat_batches(extra), f"{extra} {kind}, " + ", ".join(f"{n} double" for n in statistics.NAMES))
 

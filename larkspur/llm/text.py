@@ -52,6 +52,21 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
             yield batch.slice(a, b - a)
 
 
+def gathered(batches, column: str, least: int):
+    """Batches put together until their texts have about ``least`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        n = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held and size + n > least:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += n
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def translated(texts: pa.Array, table: bytes) -> pa.LargeBinaryArray:
     """Texts as bytes, each byte mapped by ``table``; null becomes empty."""
     flat = pc.fill_null(texts, "").cast(pa.large_string())

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import learn
-from .common import passing
+from .common import passing, small_batches
 from .text import SPACED, slices, words
 
 #: What a character of a disguised word may stand for, besides itself.
@@ -33,7 +34,7 @@ MAX_WORD = 64
 BEAM = 48
 PREFIXES = (4, 5, 6, 7, 8)
 MAX_FEATURES = 600
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _RARE = "¿"
 
 
@@ -212,19 +213,22 @@ def _feature_batches(shared):
     def run(batches):
         restorer = Restorer(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2_000_000):
                 codes, restored, row, n = restorer.block(part.column("text"))
-                pairs = np.unique(row * len(restored) + codes) if len(codes) else codes
+                place: dict[str, int] = {}
+                own = [[place.setdefault(f, len(place)) for f in features_of(w)] if w else [] for w in restored]
+                size = np.fromiter(map(len, own), np.int64, len(own))
+                flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+                start = np.cumsum(size) - size
+                pairs = np.unique(codes * n + row)  # each word once a text, then each feature once a text
+                word, text = pairs // max(n, 1), pairs % max(n, 1)
+                width = size[word]
+                at = np.repeat(start[word] - (np.cumsum(width) - width), width) + np.arange(width.sum())
+                once = np.unique(flat[at] * n + np.repeat(text, width))
                 y = part.column("y").to_numpy(zero_copy_only=False)
-                own = [set() for _ in range(n)]
-                for r, c in zip((pairs // max(len(restored), 1)).tolist(), (pairs % max(len(restored), 1)).tolist()):
-                    if restored[c]:
-                        own[r].update(features_of(restored[c]))
-                bad, good = Counter(), Counter()
-                for r, fs in enumerate(own):
-                    (bad if y[r] else good).update(fs)
-                names = list(bad.keys() | good.keys())
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([bad[f] for f in names], pa.int64()), pa.array([good[f] for f in names], pa.int64())], ["feature", "bad", "good"])
+                bad = np.bincount(once // max(n, 1), y[once % max(n, 1)] == 1, len(place)).astype(np.int64)
+                good = np.bincount(once // max(n, 1), minlength=len(place)) - bad
+                yield pa.RecordBatch.from_arrays([pa.array(list(place), pa.string()), pa.array(bad), pa.array(good)], ["feature", "bad", "good"])
 
     return run
 
@@ -287,6 +291,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     """(id, score) for each row of ``docs``; null, empty and wordless texts
     score as texts without any toxic word; repeated rows and null ids stay.
     Only the text is looked at."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_score_batches(shared), f"id {kind}, score double")
