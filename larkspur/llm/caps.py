@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import graph
-from .common import drop, partitions, sized, written
+from .common import partitions, sized, written
 
 #: Filters of each vector in each of so many independent codes.  A pair at cosine 0.9 shares none in about one of a thousand cases
 #: with one code (64 components, 64 to 512 directions a half), and in about one of a million with two.
@@ -179,7 +179,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = written(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("size"), F.min("id").alias("least"), F.min("raw").alias("raw")), "classes")
     n = classes.count()
     k = 16
-    while k * k < n * expected / 128:
+    while k * k < n * expected / BLOCK:  # a block for each filter, on average
         k *= 2
     each = classes.repartition(partitions(spark)).select("node", "size", "raw").mapInArrow(_decode_batches(k, expected), "node bigint, size bigint, raw binary, filters array<bigint>")
     each = each.select("node", "size", "raw", F.explode("filters").alias("filter"))
