@@ -273,7 +273,7 @@ def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: s
     x, y = np.zeros((len(rows), len(features))), np.array([r.y for r in rows], float)
     for i, r in enumerate(rows):
         x[i, r.feature] = np.log1p(100 * np.array(r.value))
-    weights, bias = learn.logistic(x, y, ridge=3e-4, positive=True, rounds=400)
+    weights, bias = learn.logistic(x, y, ridge=5e-5, positive=True, rounds=800)
     return ToxicModel(letters, features, weights, bias)
 
 
