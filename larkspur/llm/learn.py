@@ -25,7 +25,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, id_col: str
     return written(source.join(F.broadcast(picked), "id").select("text", "y"), "sample")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, lasso: float = 0.0, ridge: float = 0.0, positive: bool = False, rounds: int = 300) -> tuple[np.ndarray, float]:
+class Sparse:
+    """A matrix of few entries, as far as ``logistic`` needs one."""
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
+        self.row, self.column, self.value, self.shape = row, column, value, shape
+
+    @property
+    def T(self) -> Sparse:  # noqa: N802
+        return Sparse(self.column, self.row, self.value, self.shape[::-1])
+
+    def __matmul__(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * v[self.column], self.shape[0])
+
+
+def logistic(x: np.ndarray | Sparse, y: np.ndarray, lasso: float = 0.0, ridge: float = 0.0, positive: bool = False, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated proximal gradient steps.  With one
     class only, no weights and the intercept of its smoothed share."""
     share = (y.sum() + 0.5) / (len(y) + 1)

@@ -15,13 +15,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import learn
 from .common import passing, small_batches
-from .text import SPACED, slices, words
+from .text import SPACED, mix, shingle_sets, slices, words
 
 #: What a character of a disguised word may stand for, besides itself.
 LEET = {
@@ -33,8 +34,9 @@ JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
 MAX_WORD = 64
 BEAM = 48
 PREFIXES = (4, 5, 6, 7, 8)
-MAX_FEATURES = 600
 REMEMBERED = 100_000
+#: Near-equal texts count once: so many least hashes of three-word shingles, looked up in bands, alike in half at least.
+HASHES, BAND, SHINGLE = 128, 4, 3
 _RARE = "¿"
 
 
@@ -209,9 +211,53 @@ def _trigram_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
 
 
-def _feature_batches(shared):
+def _keys(texts: pa.Array) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(t or "") - (1 << 63) for t in texts.to_pylist()]
+
+
+def _sketches(texts: pa.Array) -> np.ndarray:
+    """The least hashes of each text's shingles; all ones where it has none."""
+    hashes, offsets = shingle_sets(texts, SHINGLE)
+    some = np.flatnonzero(np.diff(offsets))
+    out = np.full((len(texts), HASHES), 0xFFFFFFFF, np.uint32)
+    for k in range(HASHES if len(some) else 0):
+        mixed = mix(hashes ^ mix(np.full(1, k + 1, np.uint64)))
+        out[some, k] = np.minimum.reduceat(mixed, offsets[some]) >> np.uint64(32)
+    return out
+
+
+def _sketch_batches(batches):
+    for batch in batches:
+        for part in slices(batch, "text"):
+            sketches = [s.tobytes() for s in _sketches(part.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(part.column("text")), pa.int64()), part.column("y"), pa.array(sketches, pa.binary())], ["key", "y", "sketch"])
+
+
+def shares(keys: list[int], sketches: np.ndarray) -> dict[int, float]:
+    """For each key of a text one by the number of rows whose texts are near
+    it, by links of at least half of the sketch."""
+    above = list(range(len(keys)))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = i = above[above[i]]
+        return i
+
+    for at in range(0, HASHES, BAND):
+        _, first, group = np.unique(sketches[:, at : at + BAND], axis=0, return_index=True, return_inverse=True)
+        first = first[group.reshape(-1)]
+        later = np.flatnonzero(first != np.arange(len(keys)))
+        near = later[(sketches[later] == sketches[first[later]]).mean(axis=1) >= 0.5]
+        for i, j in zip(near.tolist(), first[near].tolist()):
+            above[top(i)] = top(j)
+    tops = np.array([top(i) for i in range(len(keys))], np.int64)
+    size = np.bincount(tops, minlength=len(keys))[tops]
+    return dict(zip(keys, (1 / size).tolist()))
+
+
+def _feature_batches(shared, shared_shares):
     def run(batches):
-        restorer = Restorer(shared.value)
+        restorer, share = Restorer(shared.value), shared_shares.value
         for batch in batches:
             for part in slices(batch, "text", 2_000_000):
                 codes, restored, row, n = restorer.block(part.column("text"))
@@ -226,8 +272,8 @@ def _feature_batches(shared):
                 at = np.repeat(start[word] - (np.cumsum(width) - width), width) + np.arange(width.sum())
                 once = np.unique(flat[at] * n + np.repeat(text, width))
                 y = part.column("y").to_numpy(zero_copy_only=False)
-                bad = np.bincount(once // max(n, 1), y[once % max(n, 1)] == 1, len(place)).astype(np.int64)
-                good = np.bincount(once // max(n, 1), minlength=len(place)) - bad
+                weight = np.array([share[k][key] for k, key in zip(y.tolist(), _keys(part.column("text")))], float)
+                bad, good = (np.bincount(once // max(n, 1), (weight * (y == k))[once % max(n, 1)], len(place)) for k in (1, 0))
                 yield pa.RecordBatch.from_arrays([pa.array(list(place), pa.string()), pa.array(bad), pa.array(good)], ["feature", "bad", "good"])
 
     return run
@@ -253,8 +299,9 @@ def _count_batches(shared):
 def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", max_rows: int = learn.MAX_ROWS) -> ToxicModel:
     """A model of ``target`` (0 or 1) from at most ``max_rows`` labelled rows
     outside fold 0.  To the driver come trigram counts (bounded by the
-    alphabet), at most ``MAX_FEATURES`` features, and the sample's counts of
-    them.  Without labels of both classes the score is one constant."""
+    alphabet), a sketch of each of the sample's texts, all features that show
+    toxic texts by a z test, and the sample's counts of them.  In the test
+    near-equal texts of a class count as one.  Without labels of both classes the score is one constant."""
     spark = docs.sparkSession
     sample = learn.labelled_sample(docs, labels, target, id_col, text_col, label_id_col, max_rows)
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -263,16 +310,27 @@ def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: s
         return ToxicModel(Letters({}), [], np.zeros(0), learn.logistic(np.zeros((bad + good, 0)), np.r_[np.ones(bad), np.zeros(good)])[1])
     grams = sample.mapInArrow(_trigram_batches, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     letters = Letters({r.gram: r.n for r in grams})
-    counted = sample.mapInArrow(_feature_batches(spark.sparkContext.broadcast(letters)), "feature string, bad bigint, good bigint").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    spread = F.sqrt((F.col("bad") + F.col("good") + 2) / (bad + good) * (1 / bad + 1 / good))
-    ranked = counted.withColumn("z", (F.col("bad") / bad - F.col("good") / good) / spread).where("bad >= 3 and z > 4").orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()
+    near = {1: [], 0: []}
+    for r in sample.mapInArrow(_sketch_batches, "key bigint, y int, sketch binary").collect():
+        near[r.y].append((r.key, bytes(r.sketch)))
+    share, texts = {}, {}
+    for k, some in near.items():
+        some.sort()
+        share[k] = shares([key for key, _ in some], np.frombuffer(b"".join(x for _, x in some), np.uint32).reshape(len(some), HASHES))
+        texts[k] = sum(share[k][key] for key, _ in some)
+    cast = spark.sparkContext.broadcast
+    counted = sample.mapInArrow(_feature_batches(cast(letters), cast(share)), "feature string, bad double, good double").groupBy("feature").agg(F.round(F.sum("bad"), 6).alias("bad"), F.round(F.sum("good"), 6).alias("good"))
+    spread = F.sqrt((F.col("bad") + F.col("good") + 2) / (texts[1] + texts[0]) * (1 / texts[1] + 1 / texts[0]))
+    ranked = counted.withColumn("z", F.round((F.col("bad") / texts[1] - F.col("good") / texts[0]) / spread, 9)).where("bad >= 3 and z > 4").orderBy(F.desc("z"), "feature").collect()
     features = [r.feature for r in ranked]
     model = ToxicModel(letters, features, np.zeros(len(features)), 0.0)
-    rows = sample.mapInArrow(_count_batches(spark.sparkContext.broadcast(model)), "y int, feature array<bigint>, value array<double>").collect()
+    rows = sample.mapInArrow(_count_batches(cast(model)), "y int, feature array<bigint>, value array<double>").collect()
     rows.sort(key=lambda r: (r.y, r.feature, r.value))
-    x, y = np.zeros((len(rows), len(features))), np.array([r.y for r in rows], float)
-    for i, r in enumerate(rows):
-        x[i, r.feature] = np.log1p(100 * np.array(r.value))
+    y = np.array([r.y for r in rows], float)
+    row = np.repeat(np.arange(len(rows)), [len(r.feature) for r in rows])
+    column = np.fromiter(chain.from_iterable(r.feature for r in rows), np.int64, len(row))
+    value = np.log1p(100 * np.fromiter(chain.from_iterable(r.value for r in rows), float, len(row)))
+    x = learn.Sparse(row, column, value, (len(rows), len(features)))
     weights, bias = learn.logistic(x, y, ridge=5e-5, positive=True, rounds=800)
     return ToxicModel(letters, features, weights, bias)
 

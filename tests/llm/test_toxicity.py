@@ -69,3 +69,22 @@ def test_fold_zero_is_not_learned_from(spark):
     docs = ids.selectExpr("id AS doc_id", "concat('word', id % 2, ' filler') AS text")
     model = toxicity.learned(docs, ids.selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic"))
     assert model.features == []
+
+
+def test_copies_of_one_text_do_not_fill_the_features(spark):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnoprstu"))
+    word = lambda: "".join(rng.choice(letters, 9, replace=False))
+    say = lambda n: [word() for _ in range(n)]
+    one = say(301)
+    copies = [" ".join([*one[:k], word(), *one[k + 1 :]]) for k in range(300)]
+    other = [" ".join([*say(30), "stupid" if k % 2 else "moron"]) for k in range(60)]
+    many = say(150)
+    wide = [" ".join([*say(10), *many]) if k % 4 else " ".join(many[::-1]) for k in range(80)]
+    wide = [" ".join(rng.permutation(t.split())) for t in wide]  # no copies: other shingles
+    clean = [" ".join(say(30)) for _ in range(700)]
+    texts = [(t, 1) for t in copies + other + wide] + [(t, 0) for t in clean]
+    docs = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id bigint, text string, toxic int")
+    features = toxicity.learned(docs.drop("toxic"), docs.drop("text")).features
+    assert {"=stupid", "=moron"} <= set(features) and len(features) > 600
+    assert not {f"={w}" for w in one} & set(features) and {f"={w}" for w in many} <= set(features)
