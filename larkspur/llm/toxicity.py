@@ -1,18 +1,21 @@
 """Toxicity by noisy-channel deobfuscation.
 
 Words that look disguised (leetspeak, inserted separators, spaced letters,
-repeated letters) become lattices of the characters that they may stand for,
-and Viterbi's algorithm decodes them under a character trigram model.  The
-restored words are scored by a sparse logistic model over the words and word
+repeated letters) become lattices of the characters and word boundaries that
+they may stand for, and Viterbi's algorithm decodes them under a model of
+words: those that the labelled texts hold often, or a character trigram model.
+The restored words are scored by a sparse logistic model over the words and word
 beginnings that labelled texts show to be toxic.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,6 +36,8 @@ JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
 #: Longest disguised word that is decoded; longer runs are not words.
 MAX_WORD = 64
 BEAM = 48
+#: Words of the lexicon occur so often in the sample at least.
+COMMON = 5
 PREFIXES = (4, 5, 6, 7, 8)
 REMEMBERED = 100_000
 #: Near-equal texts count once: so many least hashes of three-word shingles, looked up in bands, alike in half at least.
@@ -45,9 +50,17 @@ def _letter(c: str) -> str:
 
 
 class Letters:
-    """A character trigram model with interpolated bigrams and unigrams."""
+    """A character trigram model with interpolated bigrams and unigrams, and
+    a lexicon of common words."""
 
-    def __init__(self, counts: dict[str, int]):
+    #: Share of words that are drawn from the lexicon.
+    KNOWN = 0.9
+
+    def __init__(self, counts: dict[str, int], lexicon: dict[str, int] | None = None):
+        lexicon = lexicon or {}
+        every = sum(lexicon.values())
+        self.lexicon = {w: math.log(self.KNOWN * n / every) for w, n in lexicon.items()}
+        self.trie = None
         self.tri = Counter(counts)
         self.bi, self.bi_all, self.uni = Counter(), Counter(), Counter()
         for t, n in counts.items():
@@ -60,6 +73,14 @@ class Letters:
         self.total = sum(self.uni.values())
         self.memo: dict[str, float] = {}
 
+    def begins(self, some: str) -> bool:
+        """Whether a word of the lexicon begins so."""
+        if self.trie is None:
+            self.trie = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+            for w in self.lexicon:
+                self.trie.add_word(w)
+        return bool(self.lexicon) and self.trie.match(some)
+
     def log(self, two: str, c: str) -> float:
         key = two + c
         if key not in self.memo:
@@ -101,26 +122,85 @@ def disguised(word: str) -> bool:
     return any(word[i] == word[i + 1] == word[i + 2] for i in range(len(word) - 2))
 
 
-def decode(word: str, model: Letters) -> str:
-    """The best restored word by Viterbi over (last two characters)."""
-    states = {"^^": (0.0, "")}
+#: A state is the last two characters of a word by trigrams, ``"="`` and what there is of a word of the lexicon, or nothing between words.
+_UNKNOWN = math.log(1 - Letters.KNOWN)
+
+
+def _put(new: dict, state: str, cost: float, out) -> None:
+    if state not in new or cost > new[state][0]:
+        new[state] = (cost, out)
+
+
+def _ended(states: dict, model: Letters):
+    """The best (score, output) over all states, each at the end of a word."""
+    best = None
+    for state, (s, out) in states.items():
+        if state.startswith("="):
+            if state[1:] not in model.lexicon:
+                continue
+            s += model.lexicon[state[1:]]
+        elif state:
+            s += model.log(state, "$")
+        if best is None or s > best[0]:
+            best = (s, out)
+    return best
+
+
+def _with_letter(states: dict, new: dict, o: str, cost: float, model: Letters) -> None:
+    letter = _letter(o)
+    for state, (s, out) in states.items():
+        if state.startswith("="):
+            if model.begins(state[1:] + o):
+                _put(new, state + o, s + cost, (out, o))
+            continue
+        two, s = (state, s) if state else ("^^", s + _UNKNOWN)
+        _put(new, two[1] + letter, s + cost + model.log(two, letter), (out, o))
+        if not state and model.begins(o):
+            _put(new, "=" + o, s - _UNKNOWN + cost, (out, o))
+
+
+def decode(word: str, model: Letters, spaced: bool = False) -> list[str]:
+    """The best restored words by Viterbi.  A mark may be a letter, nothing or
+    the boundary of two words; where letters were ``spaced``, each gap may be
+    nothing or a boundary."""
+    states: dict[str, tuple] = {"": (0.0, None)}
     for i, c in enumerate(word):
+        if spaced and i:
+            s, out = _ended(states, model)
+            states = {state: (old - 0.2, o) for state, (old, o) in states.items() if state}
+            _put(states, "", s - 1.6, (out, " "))
+        new: dict[str, tuple] = {}
         if c.isalpha():
-            options = [(c, -0.05)]
+            _with_letter(states, new, c, -0.05, model)
+            if i and word[i - 1] == c:
+                long_run = i > 1 and word[i - 2] == c or word[i + 1 : i + 2] == c
+                for state, (s, out) in states.items():
+                    if state:
+                        _put(new, state, s - (0.2 if long_run else 3.0), out)
         else:
-            options = [(o, -1.0) for o in LEET.get(c, "")]
-            options += [("", -0.7)] if c in JOINS else [("", -12.0)] if options else [("", -3.0), (_RARE, -3.0)]
-        if i and word[i - 1] == c and c.isalpha():
-            long_run = i > 1 and word[i - 2] == c or word[i + 1 : i + 2] == c
-            options.append(("", -0.2 if long_run else -3.0))
-        new: dict[str, tuple[float, str]] = {}
-        for two, (s, out) in states.items():
-            for o, cost in options:
-                nxt, t = (two, s + cost) if not o else (two[1] + _letter(o), s + cost + model.log(two, _letter(o)))
-                if nxt not in new or t > new[nxt][0]:
-                    new[nxt] = (t, out + o)
-        states = new if len(new) <= BEAM else dict(sorted(new.items(), key=lambda x: -x[1][0])[:BEAM])
-    return max(((s + model.log(two, "$"), out) for two, (s, out) in states.items()))[1]
+            for o in LEET.get(c, ""):
+                _with_letter(states, new, o, -1.0, model)
+            drop = 0.7 if c in JOINS else 12.0 if c in LEET else 3.0
+            for state, (s, out) in states.items():
+                _put(new, state, s - drop, out)
+            if c not in JOINS and c not in LEET:
+                _with_letter(states, new, _RARE, -3.0, model)
+            if not c.isalnum():
+                s, out = _ended(states, model)
+                _put(new, "", s - (2.0 if c in LEET else 0.7), (out, " "))
+        if len(new) > BEAM:  # words of the lexicon are few and all stay
+            free = sorted((x for x in new if not x.startswith("=")), key=lambda x: -new[x][0])
+            for state in free[BEAM:]:
+                del new[state]
+        states = new
+    out, found = _ended(states, model)[1], []
+    while out:
+        out, o = out
+        found.append(o)
+    return "".join(reversed(found)).replace(_RARE, "").split()
+
+
+_RUNS = re.compile(r"[^\W\d_]{2,}")
 
 
 def features_of(word: str) -> list[str]:
@@ -133,43 +213,58 @@ class Restorer:
     def __init__(self, model: Letters):
         self.model, self.known = model, {}
 
-    def word(self, raw: str) -> str:
+    def parts(self, raw: str) -> tuple[list[str], list[str]]:
+        """Restored words, and the runs of letters between marks that are none
+        of them (a letter alone is left to the restored words)."""
         found = self.known.get(raw)
         if found is None:
-            found = core(raw)
-            if disguised(found):
-                found = decode(found, self.model)
+            whole = core(raw)
+            if disguised(whole):
+                best = decode(whole, self.model)
+                found = best, [w for w in dict.fromkeys(_RUNS.findall(whole)) if w not in best]
+            else:
+                found = [whole] if whole else [], []
             if len(self.known) < REMEMBERED:
                 self.known[raw] = found
         return found
 
+    def word(self, raw: str) -> str:
+        return " ".join(self.parts(raw)[0])
+
     def block(self, texts: pa.Array):
-        """(codes, restored distinct words, row of each code, rows).  Three or
-        more lone letters in a row are one more word, written apart."""
-        codes, distinct, counts = words(texts, SPACED)
+        """(codes, restored distinct words, row of each code, rows).  The words
+        that three or more lone letters in a row hold are more words."""
+        raw_codes, distinct, counts = words(texts, SPACED)
         decoded = [w.decode() for w in distinct]
-        restored = [self.word(w) for w in decoded]
-        row = np.repeat(np.arange(len(counts)), counts)
+        place: dict[str, int] = {}
+        held = [[place.setdefault(w, len(place)) for some in self.parts(raw) for w in some] for raw in decoded]
+        raw_row = np.repeat(np.arange(len(counts)), counts)
+        size = np.fromiter(map(len, held), np.int64, len(held))
+        flat = np.fromiter(chain.from_iterable(held), np.int64, int(size.sum()))
+        start, width = np.cumsum(size) - size, size[raw_codes]
+        codes = flat[np.repeat(start[raw_codes] - (np.cumsum(width) - width), width) + np.arange(width.sum())]
+        row = np.repeat(raw_row, width)
         lone = np.array([len(w) == 1 and (w.isalpha() or w in LEET) for w in decoded], bool)
         extra_codes, extra_rows = [], []
         if lone.any():
-            at = lone[codes]
-            same = np.concatenate([[False], row[1:] == row[:-1]])
-            start = at & ~(np.concatenate([[False], at[:-1]]) & same)
-            run = np.cumsum(start)[at]
+            at = lone[raw_codes]
+            run = np.cumsum(_run_starts(at, raw_row))[at]
             places = np.flatnonzero(at)
             for k in np.flatnonzero(np.bincount(run) >= 3).tolist():
                 some = places[np.searchsorted(run, k) : np.searchsorted(run, k, side="right")]
-                letters = [decoded[c] for c in codes[some].tolist()]
-                if len(set(letters)) < 3:
-                    continue
-                for cut in range(0, len(letters), MAX_WORD):
-                    restored.append(decode("".join(letters[cut : cut + MAX_WORD]), self.model))
-                    extra_codes.append(len(restored) - 1)
-                    extra_rows.append(row[some[0]])
+                for w in decode("".join(decoded[c] for c in raw_codes[some].tolist()), self.model, spaced=True):
+                    if len(w) > 1:  # a letter alone is a word already
+                        extra_codes.append(place.setdefault(w, len(place)))
+                        extra_rows.append(raw_row[some[0]])
         codes = np.concatenate([codes, np.array(extra_codes, np.int64)])
         row = np.concatenate([row, np.array(extra_rows, np.int64)])
-        return codes, restored, row, len(counts)
+        return codes, list(place), row, len(counts)
+
+
+def _run_starts(at: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where runs of true begin, each within one row."""
+    same = np.concatenate([[False], row[1:] == row[:-1]])[: len(at)]
+    return at & ~(np.concatenate([[False], at[:-1]])[: len(at)] & same)
 
 
 class ToxicModel:
@@ -201,11 +296,18 @@ class ToxicModel:
 def _trigram_batches(batches):
     for batch in batches:
         for part in slices(batch, "text"):
-            codes, distinct, _ = words(part.column("text"), SPACED)
-            total, often = Counter(), np.bincount(codes, minlength=len(distinct))
-            for w, n in zip(distinct, often.tolist()):
-                w = core(w.decode())
+            codes, distinct, counts = words(part.column("text"), SPACED)
+            total, decoded = Counter(), [w.decode() for w in distinct]
+            often = np.bincount(codes, minlength=len(distinct))
+            # letters in a row are words written apart, not words
+            at = np.array([len(w) == 1 for w in decoded], bool)[codes]
+            run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
+            apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
+            for w, n, lone in zip(decoded, often.tolist(), apart.tolist()):
+                w = core(w)
                 if w.isalpha() and not disguised(w):
+                    if n > lone:
+                        total["=" + w] += n - lone
                     for t in trigrams(w):
                         total[t] += min(n, 50)
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
@@ -299,7 +401,7 @@ def _count_batches(shared):
 def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", max_rows: int = learn.MAX_ROWS) -> ToxicModel:
     """A model of ``target`` (0 or 1) from at most ``max_rows`` labelled rows
     outside fold 0.  To the driver come trigram counts (bounded by the
-    alphabet), a sketch of each of the sample's texts, all features that show
+    alphabet), the sample's common words, a sketch of each of the sample's texts, all features that show
     toxic texts by a z test, and the sample's counts of them.  In the test
     near-equal texts of a class count as one.  Without labels of both classes the score is one constant."""
     spark = docs.sparkSession
@@ -308,8 +410,8 @@ def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: s
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return ToxicModel(Letters({}), [], np.zeros(0), learn.logistic(np.zeros((bad + good, 0)), np.r_[np.ones(bad), np.zeros(good)])[1])
-    grams = sample.mapInArrow(_trigram_batches, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    letters = Letters({r.gram: r.n for r in grams})
+    grams = sample.mapInArrow(_trigram_batches, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).where(~F.col("gram").startswith("=") | (F.col("n") >= COMMON)).collect()
+    letters = Letters({r.gram: r.n for r in grams if r.gram[0] != "="}, {r.gram[1:]: r.n for r in grams if r.gram[0] == "="})
     near = {1: [], 0: []}
     for r in sample.mapInArrow(_sketch_batches, "key bigint, y int, sketch binary").collect():
         near[r.y].append((r.key, bytes(r.sketch)))

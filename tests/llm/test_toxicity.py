@@ -88,3 +88,28 @@ def test_copies_of_one_text_do_not_fill_the_features(spark):
     features = toxicity.learned(docs.drop("toxic"), docs.drop("text")).features
     assert {"=stupid", "=moron"} <= set(features) and len(features) > 600
     assert not {f"={w}" for w in one} & set(features) and {f"={w}" for w in many} <= set(features)
+
+
+@pytest.fixture(scope="module")
+def small():
+    """A model of few words, and one that knows no words of its features."""
+    often = {"you": 400, "are": 400, "an": 300, "a": 900, "hello": 60, "well": 90, "the": 900, "is": 500, "idiot": 20, "stupid": 20, "ass": 15}
+    grams = {}
+    for w, n in often.items():
+        for t in toxicity.trigrams(w):
+            grams[t] = grams.get(t, 0) + n
+    return toxicity.ToxicModel(toxicity.Letters(grams, often), ["=idiot", "=stupid", "=ass"], np.full(3, 5.0), -4.0)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a s t u p i d", "y o u a r e a n i d i o t", "a s s", "you.are.an.idiot", "well...idiot", "hello,idiot", "hello,1d10t", "hello!idiot", "well?idiot", "y 0 u a r e s t u u u p 1 d", "s t u p i d " + "y o u a r e a n " * 9 + "i d i o t", "i.d.i.o.t", "qzzrv,idiot"],
+)
+def test_word_boundaries_in_runs(small, text):
+    assert small.score(pa.array([text]))[0] > 0.5
+
+
+def test_boundaries_make_no_toxic_words(small):
+    texts = ["the a.s the s", "hello.you,are", "t h e a n s w e r", "idio.you", "a a a a", "is a - b - c", "", None]
+    assert (small.score(pa.array(texts)) < 0.5).all()
+    assert small.restorer.parts("you.are.an.idiot")[0] == ["you", "are", "an", "idiot"]
