@@ -33,8 +33,6 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
-#: Longest disguised word that is decoded; longer runs are not words.
-MAX_WORD = 64
 BEAM = 48
 #: Words of the lexicon occur so often in the sample at least.
 COMMON = 5
@@ -111,10 +109,19 @@ def core(word: str) -> str:
     return word[a:b]
 
 
+_LONG = re.compile(r"([^\W\d_])\1{3,}")
+
+
+def shortened(word: str) -> str:
+    """Runs of a letter cut to three.  The restored word is the same: of a
+    run at most two letters are best kept, and each other costs one amount."""
+    return _LONG.sub(r"\1\1\1", word)
+
+
 def disguised(word: str) -> bool:
     """Whether a core has letters together with other signs, or a letter three
-    times in a row."""
-    if not 3 <= len(word) <= MAX_WORD:
+    times in a row among others."""
+    if len(word) < 3 or len(set(word)) == 1:
         return False
     letters = sum(map(str.isalpha, word))
     if letters < len(word):
@@ -218,7 +225,7 @@ class Restorer:
         of them (a letter alone is left to the restored words)."""
         found = self.known.get(raw)
         if found is None:
-            whole = core(raw)
+            whole = shortened(core(raw))
             if disguised(whole):
                 best = decode(whole, self.model)
                 found = best, [w for w in dict.fromkeys(_RUNS.findall(whole)) if w not in best]
@@ -304,7 +311,7 @@ def _trigram_batches(batches):
             run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
             apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
             for w, n, lone in zip(decoded, often.tolist(), apart.tolist()):
-                w = core(w)
+                w = shortened(core(w))
                 if w.isalpha() and not disguised(w):
                     if n > lone:
                         total["=" + w] += n - lone

@@ -113,3 +113,14 @@ def test_boundaries_make_no_toxic_words(small):
     texts = ["the a.s the s", "hello.you,are", "t h e a n s w e r", "idio.you", "a a a a", "is a - b - c", "", None]
     assert (small.score(pa.array(texts)) < 0.5).all()
     assert small.restorer.parts("you.are.an.idiot")[0] == ["you", "are", "an", "idiot"]
+
+
+@pytest.mark.parametrize("text", ["id" + "i" * 70 + "ot", "i" * 5000 + "diot", "hello.you-are." * 9 + "1d10t", "1d10t" + ".the" * 40, "i.d.i.o.t" + "..." * 40 + "you", "hello," * 5000 + "idiot"])
+def test_long_words_are_decoded(small, text):
+    counted = small.counts(pa.array([text]))
+    assert counted[1].tolist() == [0] and counted[2].tolist() == [1]
+
+
+def test_shortened_runs_restore_the_same(small):
+    for word in ("idiiiiiiiot", "sssstupid", "hellllllo.yoooou", "aaaaaaaan"):
+        assert toxicity.decode(word, small.letters) == toxicity.decode(toxicity.shortened(word), small.letters)
