@@ -1,8 +1,9 @@
 """Benchmark decontamination.
 
 Benchmark questions and answers are normalised and cut into windows of
-consecutive words; one Aho-Corasick automaton over all windows scans each
-normalised text once.  Offsets of hits are mapped back to the original text.
+consecutive words, and the windows into parts of bounded bytes.  One
+Aho-Corasick automaton for each part scans each normalised text; a text's hit
+words and items are united over the parts.  Offsets of hits are mapped back to the original text.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import passing, small_batches
-from .text import ALNUM, slices, translated
+from .text import ALNUM, gathered, slices, translated
 
-#: Every task builds the automaton (some ten nodes for each byte of benchmark text), so the bytes are checked first.
+#: Benchmark text of one part: a task holds the automaton of one part at a time (some ten nodes for each byte of text).
 MAX_BENCHMARK_BYTES = 2_000_000
+#: Where there are several parts, each automaton is built once for so many bytes of texts.
+GROUP_BYTES = 64_000_000
 
 
 def normalised(text: str | None) -> str:
@@ -41,49 +44,88 @@ def build(windows: dict[str, list]) -> ahocorasick.Automaton:
     return found
 
 
-def _benchmark_windows(benchmark: DataFrame, item_col: str, text_cols: list[str], size: int) -> dict[str, list]:
-    """Window to the ids of its items.  The benchmark's bytes are checked
-    before anything is collected."""
+def _benchmark_parts(benchmark: DataFrame, item_col: str, text_cols: list[str], size: int):
+    """Parts of the benchmark, each of windows to the ids of their items.  A
+    byte of text is in ``size`` windows, so a part's windows have at most so
+    many times ``MAX_BENCHMARK_BYTES``; the driver holds one part at a time.  A
+    single window beyond the bound is an error."""
     whole = benchmark.select(F.col(item_col).cast("string").alias("item"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(text_cols)])
-    total = whole.select(sum(F.coalesce(F.octet_length(f"t{i}"), F.lit(0)) for i in range(len(text_cols))).alias("n")).agg(F.sum("n")).first()[0] or 0
-    if total > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"the benchmark has {total} bytes; scan it in parts of at most {MAX_BENCHMARK_BYTES}")
     out: dict[str, list] = {}
+    held = 0
     for row in whole.toLocalIterator():
         for text in row[1:]:
             for w in windows_of(normalised(text), size):
+                if len(w) > MAX_BENCHMARK_BYTES:
+                    raise ValueError(f"a window of {len(w)} bytes does not fit into parts of at most {MAX_BENCHMARK_BYTES}")
+                if w not in out and out and held + len(w) > size * MAX_BENCHMARK_BYTES:
+                    yield out
+                    out, held = {}, 0
+                if w not in out:
+                    held += len(w)
                 items = out.setdefault(w, [])
                 if row.item is not None and row.item not in items:
                     items.append(row.item)
-    return out
+    if out:
+        yield out
+
+
+def _shared_parts(benchmark: DataFrame, *args) -> list:
+    return [benchmark.sparkSession.sparkContext.broadcast(part) for part in _benchmark_parts(benchmark, *args)]
+
+
+class _Automata:
+    """The parts' automata.  One part's is built once; of several, each is
+    built when its turn comes and forgotten with its windows."""
+
+    def __init__(self, shared: list):
+        self.shared, self.only = shared, None
+
+    def __iter__(self):
+        for part in self.shared:
+            found = self.only or build(part.value)
+            if len(self.shared) == 1:
+                self.only = found
+            else:
+                part.__dict__.pop("_value", None)  # the worker's copy; it is read again from its file
+            yield found
+            del found
 
 
 SCHEMA = "id {id}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
 
 
-def _scan_batches(shared, with_spans: bool):
+def _groups(batches, parts: int):
+    return batches if parts < 2 else gathered(batches, "text", GROUP_BYTES)
+
+
+def _scan_batches(shared: list, with_spans: bool):
     def run(batches):
-        windows = shared.value
-        automaton = build(windows)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                yield _scan(part, automaton, bool(windows), with_spans)
+        automata = _Automata(shared)
+        for batch in _groups(batches, len(shared)):
+            for part in slices(batch, "text") if len(shared) < 2 else [batch]:
+                yield _scan(part, automata, with_spans)
 
     return run
 
 
-def _scan(part: pa.RecordBatch, automaton, any_window: bool, with_spans: bool) -> pa.RecordBatch:
-    flat = translated(part.column("text"), ALNUM)
+def _lines(raws: list[bytes]) -> list[str]:
+    return [f" {b' '.join(raw.split()).decode('latin-1')} " for raw in raws]
+
+
+def _scan(part: pa.RecordBatch, automata: _Automata, with_spans: bool) -> pa.RecordBatch:
+    flat = translated(part.column("text"), ALNUM).to_pylist()
+    lines = _lines(flat)
+    every: list = [[] for _ in flat]
+    names: list = [set() for _ in flat]
+    for automaton in automata:
+        for i, line in enumerate(lines):
+            for end, (count, ids) in automaton.iter(line):
+                every[i].append((end, count))
+                names[i].update(ids)
     n_words, n_hit, items, spans = [], [], [], []
-    for i, raw in enumerate(flat.to_pylist()):
+    for i, (raw, line, hits, found) in enumerate(zip(flat, lines, every, names)):
         ws = raw.split()
         n_words.append(len(ws))
-        hits, found = [], set()
-        if any_window and ws:
-            line = f" {b' '.join(ws).decode('latin-1')} "
-            for end, (count, ids) in automaton.iter(line):
-                hits.append((end, count))
-                found.update(ids)
         if not hits:
             n_hit.append(0)
             items.append([])
@@ -130,12 +172,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     occurring window; spans are runs of hit words in code points of the
     original text.  Null and empty texts have no words and no hits; empty or
     null items have no windows; items without an id hit but are not named;
-    repeated rows and ids stay.  Other columns are not read.  The benchmark is
-    checked to be at most ``MAX_BENCHMARK_BYTES`` before it is shipped.
+    repeated rows and ids stay.  Other columns are not read.  A benchmark
+    beyond ``MAX_BENCHMARK_BYTES`` is scanned in parts.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(_benchmark_windows(benchmark, item_col, list(item_text_cols), window))
+    shared = _shared_parts(benchmark, item_col, list(item_text_cols), window)
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_scan_batches(shared, spans), SCHEMA.format(id=kind))
     return out.withColumnRenamed("id", id_col)
@@ -143,15 +185,32 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_cols: tuple[str, ...] = ("text",), window: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(_benchmark_windows(benchmark, item_col, list(item_text_cols), window))
-    built: list = []
+    shared = _shared_parts(benchmark, item_col, list(item_text_cols), window)
+    if len(shared) < 2:
+        built: list = []
+
+        def clean(texts: pa.Array) -> pa.Array:
+            if not built:
+                built.append(_Automata(shared))
+            return _clean(texts, built[0])
+
+        flagged, name = passing(docs, text_col, T.BooleanType(), clean)
+        return flagged.where(F.col(name)).drop(name)
+    small_batches(docs.sparkSession)
+    names, at = docs.columns, docs.columns.index(text_col)
+    flat = docs.toDF(*["text" if i == at else f"c{i}" for i in range(len(names))])
+
+    def run(batches):
+        automata = _Automata(shared)
+        for batch in _groups(batches, len(shared)):
+            yield batch.filter(_clean(batch.column("text"), automata))
 
-    def clean(texts: pa.Array) -> pa.Array:
-        windows = shared.value
-        if not built:
-            built.append(build(windows))
-        return pa.array([not windows or next(built[0].iter(f" {b' '.join(raw.split()).decode('latin-1')} "), None) is None for raw in translated(texts, ALNUM).to_pylist()])
+    return flat.mapInArrow(run, flat.schema).toDF(*names)
 
-    flagged, name = passing(docs, text_col, T.BooleanType(), clean)
-    return flagged.where(F.col(name)).drop(name)
 
+def _clean(texts: pa.Array, automata: _Automata) -> pa.Array:
+    lines = _lines(translated(texts, ALNUM).to_pylist())
+    good = [True] * len(lines)
+    for automaton in automata:
+        good = [g and next(automaton.iter(line), None) is None for g, line in zip(good, lines)]
+    return pa.array(good, pa.bool_())

@@ -83,3 +83,17 @@ def test_benchmark_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_BENCHMARK_BYTES", 10)
     with pytest.raises(ValueError, match="parts"):
         decontaminate.scan(*frames(spark, [(1, "a")], [(1, "more than ten bytes")]))
+
+
+def test_parts_unite(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BENCHMARK_BYTES", 150)
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 2_000)
+    docs, items = data()
+    d, b = frames(spark, docs, items)
+    assert len(list(decontaminate._benchmark_parts(b, "item_id", ["text"], 10))) > 2
+    got = decontaminate.scan(d, b).collect()
+    want = plain(docs, items)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans]) for r in got), key=str) == want
+    kept = decontaminate.without_contaminated(d, b)
+    assert kept.columns == d.columns
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(r[0]) for r in want if not r[2])
