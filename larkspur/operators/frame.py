@@ -8,6 +8,7 @@ in the source is read only then, so other plans scan no column for it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,7 +42,7 @@ class Frame:
     def _place(self) -> list[Column]:
         if self.place == "file":
             return [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-        return [F.col(ROW)] if self.place == "row" else [F.col(f"`{k}`").asc() for k in self.place]
+        return [F.col(ROW)] if self.place == "row" else [F.col(f"`{k}`") for k in self.place]
 
     def keys(self) -> list[Column]:
         return [F.col(f"`{c}`").desc() if down else F.col(f"`{c}`").asc() for c, down in self.order] + self._place()
@@ -69,7 +70,7 @@ def filtered(frame: Frame, predicate: Expr) -> Frame:
     named: dict[str, tuple[Column, str]] = {}
 
     def aggregate(e: Expr) -> tuple[Column, str]:
-        c, kind = lower(e, frame.schema, *_ends(frame, ()))
+        c, kind = lower(e, frame.schema, *_ends(frame))
         named[f"__agg{len(named)}"] = (c, kind)
         return F.col(f"__agg{len(named) - 1}"), kind
 
@@ -80,12 +81,40 @@ def filtered(frame: Frame, predicate: Expr) -> Frame:
     return replace(frame, df=frame.df.crossJoin(F.broadcast(row)).filter(c).drop(*named))
 
 
-def _ends(frame: Frame, keys: tuple[str, ...]):
-    """First and last by the frame's order, nulls kept."""
-    rank = F.struct(*[F.col(f"`{c}`") for c, _ in frame.order], F.col(ROW)) if frame.place == "row" else F.struct(*frame._place())
+def _ends(frame: Frame):
+    """First and last by the frame's order, nulls kept: the values at the least
+    and the greatest place, which combine on the map side."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    by = [_backwards(F.col(f"`{c}`"), kinds[c]) if down else F.col(f"`{c}`") for c, down in frame.order]
+    rank = F.struct(*[c.alias(f"k{i}") for i, c in enumerate((*by, *frame._place()))])
     return lambda c: F.min_by(c, rank), lambda c: F.max_by(c, rank)
 
 
+def _backwards(c: Column, kind: T.DataType) -> Column | None:
+    """A value that orders as ``c`` does backwards, nulls last; none for types
+    that have no such value."""
+    if isinstance(kind, T.IntegralType):
+        key = [F.bitwise_not(c)]
+    elif isinstance(kind, T.BooleanType):
+        key = [~c]
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        key = [~F.isnan(c), -c]
+    elif isinstance(kind, T.DecimalType):
+        key = [-c]
+    elif isinstance(kind, T.DateType):
+        key = [-F.unix_date(c)]
+    elif isinstance(kind, T.TimestampType):
+        key = [-F.unix_micros(c)]
+    elif isinstance(kind, T.TimestampNTZType):
+        key = [-F.unix_date(c.cast("date")), -F.hour(c), -F.minute(c), -F.extract(F.lit("SECOND"), c)]
+    elif isinstance(kind, (T.StringType, T.BinaryType)):
+        # a digit beyond all others ends it, so that of two the longer one is less
+        key = [F.concat(F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))]
+    else:
+        return None
+    return F.struct(c.isNull().alias("none"), *[k.alias(f"v{i}") for i, k in enumerate(key)])
+
+
 def grouped(frame: Frame, keys: tuple[str, ...], exprs: tuple[Expr, ...]) -> Frame:
     """One row for each distinct key: keys, then aggregates as written.  Bare
     expressions are their first value; without keys one row; without
@@ -106,7 +135,7 @@ def grouped(frame: Frame, keys: tuple[str, ...], exprs: tuple[Expr, ...]) -> Fra
         raise EngineError(f"two outputs are named {', '.join(sorted(doubled))}: give an alias")
     if any(x.kind == "agg" and x.op in ("first", "last") for e in exprs for x in e.walk()):
         frame = _ranked(frame.named(), keys)
-    columns = [lower(e, frame.schema, *_ends(frame, keys))[0].alias(n) for e, n in zip(exprs, out)]
+    columns = [lower(e, frame.schema, *_ends(frame))[0].alias(n) for e, n in zip(exprs, out)]
     df = frame.df.groupBy(*by).agg(*columns) if keys else frame.df.agg(*columns)
     return Frame(df, keys if keys else (out[0],))
 
@@ -130,9 +159,11 @@ def _outside(e: Expr):
 
 
 def _ranked(frame: Frame, keys: tuple[str, ...]) -> Frame:
-    """A frame ordered by its row column alone.  Ascending keys can stay as
-    they are; a descending one needs each group's rows numbered."""
-    if not any(down for _, down in frame.order):
+    """The frame itself, where each of its order's keys can be read backwards.
+    Else (descending arrays and structs) each group's rows are numbered, which
+    sorts a group in one task."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    if all(not down or _backwards(F.lit(None), kinds[c]) is not None for c, down in frame.order):
         return frame
     number = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*frame.keys()))
     return Frame(frame.df.withColumn("__n", number).drop(ROW).withColumnRenamed("__n", ROW), "row")
@@ -152,4 +183,19 @@ def head(frame: Frame, n: int) -> Frame:
         raise TypeError("head takes an integer")
     if n < 0:
         raise ValueError("head takes no negative number")
-    return replace(frame, df=frame.df.orderBy(*frame.keys()).limit(n))
+    df = _leading(frame, n) if frame.place == "file" and not frame.order else frame.df
+    return replace(frame, df=df.orderBy(*frame.keys()).limit(n))
+
+
+def _leading(frame: Frame, n: int) -> DataFrame:
+    """The rows of the first files, by path, that hold ``n`` rows together, so
+    that a head without a sort does not read all files.  The files are tried
+    now, few first; a single file is not."""
+    files = sorted(re.sub("^([^:/]+):///", r"\1:/", f) for f in frame.df.inputFiles())  # as in _metadata
+    tried = 1
+    while tried < len(files):
+        some = frame.df.where(F.col("_metadata.file_path") <= files[tried - 1])
+        if some.limit(n).count() >= n:
+            return some
+        tried *= 4
+    return frame.df

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from ..functions.expr import col, lit
-from ..series import dtype_of
+from ..operators.dictionary import coded
 from ..session import Context
+from ..sources import files
 from ..table import Table
 from .query import Query
 
@@ -56,6 +56,16 @@ for _op, _sign in (("ne", "<>"), ("lt", "<"), ("le", "<="), ("gt", ">"), ("ge",
 _query("q05_and", "SELECT * FROM lineitem WHERE l_returnflag = 'A' AND l_quantity < 5")(lambda t: t("lineitem").filter((col("l_returnflag") == "A") & (col("l_quantity") < 5)))
 _query("q05_or", "SELECT * FROM lineitem WHERE l_quantity > 49 OR l_discount = 0")(lambda t: t("lineitem").filter(col("l_quantity").gt(49).or_(col("l_discount").eq(0))))
 _query("q05_not", "SELECT * FROM lineitem WHERE NOT (l_quantity > 5)")(lambda t: t("lineitem").filter((col("l_quantity") > 5).not_()))
+for _op, _sign, _than in (("add", "+", 30), ("sub", "-", 20), ("mul", "*", 10)):
+    _query(f"q06_{_op}", f"SELECT * FROM lineitem WHERE l_quantity {_sign} l_linenumber > {_than}")(
+        lambda t, op=_op, than=_than: t("lineitem").filter(getattr(col("l_quantity"), op)(col("l_linenumber")) > than)
+    )
+_query("q06_reflected", "SELECT * FROM lineitem WHERE 1 - l_discount > 0.95 AND 2 * l_quantity < 20")(lambda t: t("lineitem").filter((1 - col("l_discount") > 0.95) & (2 * col("l_quantity") < 20)))
+_query("q07_div_zero", "SELECT * FROM lineitem WHERE l_linenumber = 1")(lambda t: t("lineitem").filter(col("l_quantity").div(col("l_linenumber") - 1).is_null()))
+_query("q08_mod_zero", "SELECT * FROM lineitem WHERE l_linenumber = 1")(lambda t: t("lineitem").filter(col("l_partkey").mod(col("l_linenumber") - 1).is_null()))
+_query("q08_mod_negative", "SELECT * FROM customer WHERE c_acctbal % 7 < -3")(lambda t: t("customer").filter(col("c_acctbal") % 7 < -3))
+_query("q10_log_negative", "SELECT * FROM customer WHERE c_acctbal <= 0")(lambda t: t("customer").filter(col("c_acctbal").log().is_null()))
+_query("q10_sqrt_negative", "SELECT * FROM customer WHERE CASE WHEN c_acctbal < 0 THEN 'nan'::DOUBLE ELSE sqrt(c_acctbal) END > 50")(lambda t: t("customer").filter(col("c_acctbal").sqrt() > 50))
 _query("q07_div", "SELECT * FROM orders WHERE o_totalprice / 1000 > 300")(lambda t: t("orders").filter(col("o_totalprice").div(1000) > 300))
 _query("q08_mod", "SELECT * FROM orders WHERE o_orderkey % 7 = 3")(lambda t: t("orders").filter(col("o_orderkey") % 7 == 3))
 _query("q09_neg", "SELECT * FROM customer WHERE -c_acctbal > 500")(lambda t: t("customer").filter(-col("c_acctbal") > 500))
@@ -101,6 +111,15 @@ _query("q15_last", "SELECT event_type, last(value ORDER BY event_id) AS value_la
 _query("q15_first_descending", "SELECT event_type, first(user_id ORDER BY event_id DESC) AS user_id_first FROM events GROUP BY ALL")(
     lambda t: t("events").sort("event_id", descending=True).group_by("event_type").agg(col("user_id").first())
 )
+_query("q15_last_descending", "SELECT event_type, last(user_id ORDER BY ts DESC, event_id) AS user_id_last FROM events GROUP BY ALL")(
+    lambda t: t("events").sort("event_id").sort("ts", descending=True).group_by("event_type").agg(col("user_id").last())
+)
+_query("q15_first_by_text", "SELECT first(event_id ORDER BY event_type DESC, value DESC, event_id) AS event_id_first FROM events")(
+    lambda t: t("events").sort("event_type", "value", "event_id", descending=[True, True, False]).group_by().agg(col("event_id").first())
+)
+_query("q15_first_of_groups", "SELECT first(event_type ORDER BY n DESC, event_type) AS event_type_first FROM (SELECT event_type, count(*) AS n FROM events GROUP BY ALL)")(
+    lambda t: t("events").group_by("event_type").agg(col("event_id").count().alias("n")).sort("n", descending=True).group_by().agg(col("event_type").first())
+)
 _query("q16_alias", "SELECT l_linestatus, max(l_shipdate) AS latest FROM lineitem GROUP BY ALL")(lambda t: t("lineitem").group_by("l_linestatus").agg(col("l_shipdate").max().alias("latest")))
 _query("q17_over_aggregates", "SELECT l_returnflag, round(sum(l_tax) / sum(l_discount), 6) AS ratio FROM lineitem GROUP BY ALL", ratio=6)(
     lambda t: t("lineitem").group_by("l_returnflag").agg((col("l_tax").sum() / col("l_discount").sum()).alias("ratio"))
@@ -130,6 +149,8 @@ _query("q23_sort_multi", "SELECT * FROM orders ORDER BY o_orderstatus DESC NULLS
 _query("q23_filter_sort", "SELECT * FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderkey")(lambda t: t("orders").filter(col("o_orderstatus") == "P").sort("o_orderkey"))
 _query("q24_head", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")(lambda t: t("orders").sort("o_orderkey").head(20))
 _query("q24_filter_head", "SELECT * FROM orders WHERE o_totalprice > 1000 ORDER BY o_orderkey LIMIT 20")(lambda t: t("orders").filter(col("o_totalprice") > 1000).sort("o_orderkey").head(20))
+_query("q24_head_source_order", "SELECT * FROM orders LIMIT 20")(lambda t: t("orders").head(20))
+_query("q24_filter_then_head", "SELECT * FROM orders WHERE o_totalprice > 100000 LIMIT 20")(lambda t: t("orders").filter(col("o_totalprice") > 100000).head(20))
 _query("q24_head_beyond", "SELECT * FROM nation")(lambda t: t("nation").head(1_000_000))
 _query("q24_head_zero", "SELECT * FROM nation WHERE FALSE")(lambda t: t("nation").head(0))
 _query("q25_top_k", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")(lambda t: t("orders").sort("o_totalprice", "o_orderkey", descending=[True, False]).head(10))
@@ -150,23 +171,16 @@ _query("q34_column_scan", "SELECT o_custkey FROM orders GROUP BY o_custkey")(lam
 
 
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Indices of a text column and their dictionary, in the plan: codes by
-    rank among the sorted distinct values, joined back as a broadcast when the
-    dictionary is small."""
+    """Indices of a text column and its dictionary, in the plan."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type")
-    values = part.select("p_type").distinct()
-    ranked = values.withColumn("code", (F.dense_rank().over(Window.orderBy("p_type")) - 1).cast("bigint"))
-    return part.join(ranked, "p_type").select("p_partkey", "code", F.col("p_type").alias("value"))
+    return coded(part, "p_type").select("p_partkey", "code", F.col("p_type").alias("value"))
 
 
 def _shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, columns, names and types of a table."""
-    context = Context(spark)
-    orders = context.read_parquet(f"{sf_dir}/orders.parquet")
-    fields = orders.to_df().schema.fields
-    rows = [(i, f.name, dtype_of(f.dataType), len(fields)) for i, f in enumerate(fields)]
-    names = spark.createDataFrame(rows, "position int, name string, dtype string, n_cols int")
-    return names.crossJoin(orders.group_by().agg(col("o_orderkey").count().alias("n_rows")).to_df())
+    """Rows, columns, names and types of a table, through its accessors."""
+    orders = Context(spark).read_parquet(f"{sf_dir}/orders.parquet")
+    rows = [(i, name, orders.dtypes[name], orders.n_cols, orders.n_rows) for i, name in enumerate(orders.columns)]
+    return spark.createDataFrame(rows, "position int, name string, dtype string, n_cols int, n_rows bigint")
 
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +193,43 @@ def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with nulls: its bitmap, bit by bit (nations, a fixed size)."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumn("region", F.expr("nullif(n_regionkey, 0)"))
+    found = Context(spark).table(nation).sort("n_nationkey").collect_sync()
+    keys, region = found.col("n_nationkey"), found.col("region")
+    valid = [bool(region.null_bitmap[i // 8] >> i % 8 & 1) for i in range(len(region))]
+    rows = [(int(k), v, int(x)) for k, v, x in zip(keys.data, valid, region.data)]
+    return spark.createDataFrame(rows, "n_nationkey int, valid boolean, raw int")
+
+
+def _csv(table: str, schema: str | None, late: bool):
+    """A table written as CSV and read back through the context."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = files.scratch(spark, "csv")
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").write.options(header=True, escape='"').csv(path)
+        context = Context(spark)
+        return (context.read_csv_async(path, schema).result() if late else context.read_csv(path, schema)).to_df()
+
+    return run
+
+
+def _csv_line_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = files.scratch(spark, "csv")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    noted = part.select("p_partkey", F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('", ')).alias("note"))
+    noted.write.options(header=True, escape='"', quoteAll=True, ignoreTrailingWhiteSpace=False).csv(path)
+    return Context(spark).read_csv(path).to_df()
+
+
+def _collect_async(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query run on another thread, then asked for its rows."""
+    orders = Context(spark).read_parquet(f"{sf_dir}/orders.parquet")
+    pending = orders.filter(col("o_totalprice") > 300_000).group_by("o_orderpriority").agg(col("o_orderkey").count().alias("n")).collect()
+    return pending.result().to_df()
+
+
 _DIRECT: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "q30_dictionary": (_dictionary, "SELECT p_partkey, (dense_rank() OVER (ORDER BY p_type) - 1)::BIGINT AS code, p_type AS value FROM part"),
     "q32_shape": (
@@ -188,6 +239,11 @@ _DIRECT: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         (4, 'o_orderdate', 'timestamp'), (5, 'o_orderpriority', 'sym')) AS v(position, name, dtype)""",
     ),
     "q35_series": (_series, "SELECT r_regionkey, r_name FROM region"),
+    "q36_csv": (_csv("customer", "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", late=False), "SELECT * FROM customer"),
+    "q36_csv_async": (_csv("supplier", None, late=True), "SELECT s_suppkey::INT AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"),
+    "q36_csv_line_feeds": (_csv_line_feeds, "SELECT p_partkey::INT AS p_partkey, p_name || chr(10) || '\"' || p_brand || '\", ' AS note FROM part"),
+    "q37_null_bitmap": (_bitmap, "SELECT n_nationkey, n_regionkey <> 0 AS valid, n_regionkey AS raw FROM nation"),
+    "q38_collect_async": (_collect_async, "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_totalprice > 300000 GROUP BY ALL"),
 }
 
 

@@ -30,12 +30,12 @@ class Context:
         self.check()
         return self._pool.submit(work, *args)
 
-    def read_csv(self, path: str, schema: str | None = None) -> Table:
+    def read_csv(self, path: str, schema: str | None = None, multi_line: bool | None = None) -> Table:
         self.check()
-        return Table(self, files.csv(self.spark, path, schema))
+        return Table(self, files.csv(self.spark, path, schema, multi_line))
 
-    def read_csv_async(self, path: str, schema: str | None = None) -> Future[Table]:
-        return self.submit(self.read_csv, path, schema)
+    def read_csv_async(self, path: str, schema: str | None = None, multi_line: bool | None = None) -> Future[Table]:
+        return self.submit(self.read_csv, path, schema, multi_line)
 
     def read_parquet(self, path: str) -> Table:
         self.check()

@@ -2,15 +2,20 @@
 
 import math
 import os
+from datetime import date, datetime
+from decimal import Decimal
 from concurrent.futures import Future
 
 import numpy as np
 import pytest
 
 from larkspur import ColumnNotFound, Context, EngineError, QueryFailed, ReadFailed, col, lit
+from larkspur.operators.dictionary import coded
+from larkspur.operators.frame import _leading
 
 HERE = os.path.join(os.path.dirname(__file__), "fixtures")
-SALES = [("electronics", "laptop", 999.99, 10), ("electronics", "phone", 699.99, 15), ("electronics", "tablet", 449.99, 25), ("clothing", "coat", 89.99, 50), ("clothing", "shoes", 59.99, 70), ("clothing", "hat", 19.99, 100), ("food", "rice", 3.99, 200), ("food", "tea", 4.99, 150), ("food", "nuts", 7.99, 120)]
+#: Rows of our own, with their own sums: tools 120.5 and 5 on average, garden 61.0 and 30, paper 6.75 and 400.
+SALES = [("garden", "rake", 18.5, 20), ("paper", "card", 0.5, 700), ("tools", "saw", 30.25, 4), ("paper", "roll", 4.25, 200), ("tools", "drill", 80.0, 2), ("garden", "spade", 22.0, 40), ("tools", "file", 10.25, 9), ("garden", "hose", 20.5, 30), ("paper", "pad", 2.0, 300)]
 
 
 @pytest.fixture(scope="module")
@@ -49,15 +54,15 @@ def test_filter_head_sort(small, sales):
     assert list(small.filter(col("value") > 15).collect_sync().col("value").data) == [20.3, 30.1]
     assert small.head(2).collect_sync().n_rows == 2
     assert small.filter(col("value") > 5).head(1).collect_sync().n_rows == 1
-    assert sales.sort("price").collect_sync().col("price").data[0] == 3.99
-    assert sales.sort("price", descending=True).collect_sync().col("price").data[0] == 999.99
+    assert sales.sort("price").collect_sync().col("price").data[0] == 0.5
+    assert sales.sort("price", descending=True).collect_sync().col("price").data[0] == 80.0
 
 
 def test_group_and_sort(sales):
     got = rows(sales.group_by("category").agg(col("price").sum(), col("quantity").mean()).sort("price_sum", descending=True))
-    assert [r[0] for r in got] == ["electronics", "clothing", "food"]
-    assert [round(r[1], 2) for r in got] == [2149.97, 169.97, 16.97]
-    assert [round(r[2], 3) for r in got] == [16.667, 73.333, 156.667]
+    assert [r[0] for r in got] == ["tools", "garden", "paper"]
+    assert [round(r[1], 2) for r in got] == [120.5, 61.0, 6.75]
+    assert [round(r[2], 3) for r in got] == [5.0, 30.0, 400.0]
 
 
 def test_async(small, ctx):
@@ -131,12 +136,12 @@ def test_first_and_last_follow_the_order(ctx, spark):
 
 def test_steps_are_sequential_and_immutable(sales):
     top = sales.sort("price", descending=True).head(2)
-    assert rows(top.group_by("category").agg(col("price").count())) == [("electronics", 2)]
+    assert sorted(rows(top.group_by("category").agg(col("price").count()))) == [("tools", 2)]
     q = sales.query()
     q.filter(col("price") > 100)
     assert len(rows(q)) == 9
     twice = sales.group_by("category", "product").agg(col("price").max()).group_by("category").agg(col("price_max").count())
-    assert sorted(rows(twice)) == [("clothing", 3), ("electronics", 3), ("food", 3)]
+    assert sorted(rows(twice)) == [("garden", 3), ("paper", 3), ("tools", 3)]
 
 
 def test_parquet_order(ctx, spark, tmp_path):
@@ -148,6 +153,58 @@ def test_parquet_order(ctx, spark, tmp_path):
     assert [r[0] for r in rows(t.filter(col("k") > col("k").mean()).head(2))] == [99, 98]
 
 
+def test_descending_ends_of_every_type(ctx, spark):
+    values = {
+        "tinyint": [(-128,), (127,), (0,), (None,)],
+        "bigint": [(-(1 << 63),), ((1 << 63) - 1,), (0,), (None,)],
+        "double": [(float("nan"),), (-0.0,), (float("inf"),), (float("-inf"),), (None,), (2.5,)],
+        "string": [("",), ("a",), ("ab",), ("b",), (None,), ("\u00e9",), ("\U0001f600",)],
+        "boolean": [(True,), (False,), (None,)],
+        "decimal(8,2)": [(Decimal("-1.5"),), (Decimal("2.25"),), (None,)],
+        "date": [(date(1969, 1, 2),), (date(2001, 3, 4),), (None,)],
+        "timestamp": [(datetime(1969, 1, 2, 3, 4, 5, 6),), (datetime(2001, 3, 4),), (None,)],
+        "timestamp_ntz": [(datetime(1969, 1, 2, 3, 4, 5, 6),), (datetime(1969, 1, 2, 3, 4, 5, 7),), (datetime(2001, 3, 4, 23),), (datetime(2001, 3, 4, 7, 59),), (None,)],
+        "array<int>": [([1],), ([1, 2],), (None,)],
+    }
+    for kind, some in values.items():
+        t = frame(ctx, spark, [(i, v) for i, (v,) in enumerate(some)] + [(99, some[0][0])], f"id int, v {kind}")
+        for down in (True, False):
+            order = [r[0] for r in rows(t.sort("v", descending=down))]
+            got = rows(t.sort("v", descending=down).group_by().agg(col("id").first().alias("a"), col("id").last().alias("b")))
+            assert got == [(order[0], order[-1])], (kind, down)
+
+
+def test_ends_of_grouped_frames(ctx, spark):
+    t = frame(ctx, spark, [("a", 1), ("b", 5), ("c", 5), ("a", 2)], "k string, v int")
+    sums = t.group_by("k").agg(col("v").sum().alias("s"))
+    assert rows(sums.group_by().agg(col("k").first(), col("s").last())) == [("a", 5)]
+    assert rows(sums.sort("s", descending=True).group_by().agg(col("k").first().alias("x"), col("k").last().alias("y"))) == [("b", "a")]
+
+
+def test_heads_read_the_first_files(ctx, spark, tmp_path):
+    for i in range(9):
+        spark.range(10 * i, 10 * i + 10 + i).coalesce(1).write.parquet(str(tmp_path / f"t{i}"))
+    for i in range(9):
+        part = next((tmp_path / f"t{i}").glob("*.parquet"))
+        part.rename(tmp_path / f"f{i}.parquet")
+    t = ctx.read_parquet(str(tmp_path / "f*.parquet"))
+    assert [r[0] for r in rows(t.head(12))] == [*range(10), 10, 11]
+    assert [r[0] for r in rows(t.filter(col("id") >= 35).head(3))] == [35, 36, 37]
+    assert [r[0] for r in rows(t.head(12).head(11))] == [*range(10), 10]
+    assert len(rows(t.head(1000))) == 126 and rows(t.head(0)) == []
+    assert [_leading(t._frame, n).count() for n in (10, 12, 70)] == [10, 46, 126]
+
+
+def test_dictionary_codes(spark):
+    values = ["b", None, "a", "b", "", "c", "aa"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    place = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}))}
+    for parts in (1, 3, 8):
+        got = {r.id: r.code for r in coded(df, "v", parts=parts).collect()}
+        assert got == {i: place.get(v) for i, v in enumerate(values)}
+    assert coded(df.limit(0), "v").count() == 0
+
+
 # ---- groups
 
 
@@ -204,11 +261,24 @@ def test_csv_edges(ctx, tmp_path):
     path = tmp_path / "e.csv"
     path.write_text('a,b\n1,"x, ""y"""\n,z\n')
     assert rows(ctx.read_csv(str(path)).query()) == [(1, 'x, "y"'), (None, "z")]
+    path.write_text('a,b\n1,"x\ny, ""z"""\n2,w\n')
+    assert rows(ctx.read_csv(str(path)).query()) == [(1, 'x\ny, "z"'), (2, "w")]
+    assert rows(ctx.read_csv(str(path), "a int, b string", multi_line=True).head(1)) == [(1, 'x\ny, "z"')]
+    with pytest.raises(Exception, match="(?i)malformed|failed_read"):
+        rows(ctx.read_csv(str(path), "a int, b string", multi_line=False).query())
     path.write_text("a,b\n")
     assert ctx.read_csv(str(path)).n_rows == 0
     assert rows(ctx.read_csv(f"{HERE}/small.csv", "id bigint, name string, value double").head(1)) == [(1, "alpha", 10.5)]
 
 
+def test_csv_files_are_in_order(ctx, tmp_path):
+    for i, n in enumerate((1, 30, 5)):
+        (tmp_path / f"{i}.csv").write_text("a\n" + "".join(f"{100 * i + k}\n" for k in range(n)))
+    t = ctx.read_csv(str(tmp_path))
+    assert [r[0] for r in rows(t.head(4))] == [0, 100, 101, 102]
+    assert rows(t.group_by().agg(col("a").first(), col("a").last().alias("z"))) == [(0, 204)]
+
+
 def test_errors(ctx, small):
     with pytest.raises(ColumnNotFound, match="Column not found: nope"):
         small.col("nope")

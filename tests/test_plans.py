@@ -35,5 +35,13 @@ def test_no_python_in_any_plan(spark):
         assert "Python" not in p and "Pandas" not in p and "CartesianProduct" not in p, name
 
 
+def test_no_window_over_one_partition(spark):
+    for name, build in catalog.queries().items():
+        p = plan(build(spark, SF))
+        assert "Window [" not in p or "SinglePartition" not in p.split("Window [")[1].split("Exchange")[0], name
+    ordered = Context(spark).read_parquet(f"{SF}/events.parquet").sort("ts", "event_type", "value", descending=True)
+    assert "Window" not in plan(ordered.group_by("user_id").agg(col("event_id").first()).to_df())
+
+
 def test_every_query_has_sql():
     assert catalog.queries().keys() == catalog.oracle_sql().keys()
