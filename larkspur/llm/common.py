@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,59 +18,112 @@ from .text import slices
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-#: Whole texts travel to Python in batches of at most so many rows.
-BATCH_ROWS = 1000
+#: Settings under which whole texts travel to Python: ten thousand at once, out and back, take more memory than a small executor has
+#: beside its heap.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+#: Shuffle files of a written table serve nothing once it is written.
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: A key with more than this share of the rows, and more than so many rows, is dealt out over several tasks.
+HOT_SHARE, HOT_ROWS = 5000, 256
 
 _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables that driver and executors all see.
-
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, local sessions) a folder of our own is made.
-    """
+    """Folder for intermediate tables that driver and executors all see: the
+    session's ``spark.checkpoint.dir``.  Only a local session without one (as
+    in tests) gets a folder of its own; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
-        if spark.sparkContext.master.startswith("local["):
-            _own[app] = tempfile.mkdtemp(prefix="larkspur-")
-            atexit.register(shutil.rmtree, _own[app], True)
-        else:
-            _own[app] = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/larkspur-shared"
+        _own[app] = tempfile.mkdtemp(prefix="larkspur-")
+        atexit.register(shutil.rmtree, _own[app], True)
     return _own[app]
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch: ten thousand whole texts at
-    once, out and back, take more memory than a small executor has beside its
-    heap.  Spark reads the setting when a plan runs, so it stays lowered."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Set ``BATCHES`` for a session.  Operators leave a caller's session as it
+    is; the queries and the pipeline set their own."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """The session with other settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Tables written inside ``temporaries``, innermost last; and those that nothing has dropped yet.
+_open: list[list[DataFrame]] = []
+_left: dict[str, DataFrame] = {}
 
 
 def written(df: DataFrame, tag: str, **options) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: it cuts
-    the lineage, and a lost executor loses nothing of it."""
+    the lineage, and a lost executor loses nothing of it.  What nobody drops
+    goes when the program ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspur/{tag}-{uuid.uuid4().hex}"
-    small_batches(spark)
-    df.write.options(**options).parquet(path)
+    with settings(spark, BATCHES | CLEANUP):
+        df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._larkspur_path = path
+    if not _left:
+        atexit.unregister(_drop_left)
+        atexit.register(_drop_left)
+    _left[path] = out
+    if _open:
+        _open[-1].append(out)
     return out
 
 
-def drop(df: DataFrame) -> None:
+def drop(*tables: DataFrame) -> None:
     """Delete what ``written`` wrote, once nothing reads it any more."""
-    path = getattr(df, "_larkspur_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    for df in tables:
+        path = getattr(df, "_larkspur_path", None)
+        if path and _left.pop(path, None) is not None:
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _drop_left() -> None:
+    for df in list(_left.values()):
+        if df.sparkSession.sparkContext._jsc is not None:  # else the session has ended
+            drop(df)
+
+
+@contextmanager
+def temporaries():
+    """Tables written inside are dropped at the end, but for those that are
+    given to the function this yields; they belong to what is around."""
+    _open.append([])
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        for df in _open.pop():
+            if any(df is k for k in kept):
+                if _open:
+                    _open[-1].append(df)
+            else:
+                drop(df)
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
@@ -78,6 +132,30 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def hot_limit(rows: int) -> int:
+    """Rows of a key beyond which it is hot, in a table of ``rows``."""
+    return max(HOT_ROWS, rows // HOT_SHARE)
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, rows: int, held: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on columns of the same names, where some
+    keys may hold much of ``left``.
+
+    A key that has more of the ``rows`` rows of ``left`` than ``hot_limit``
+    says is cut into parts by a hash of the column ``by``, and its rows of
+    ``right`` are sent to each part.  There are at most ``HOT_SHARE`` such
+    keys, so they are broadcast.  ``held`` may give the rows of each key (``on``
+    and ``held``); else they are counted."""
+    limit = hot_limit(rows)
+    counted = held if held is not None else left.groupBy(*on).agg(F.count("*").alias("held"))
+    hot = F.broadcast(counted.where(F.col("held") > limit).select(*on, F.ceil(F.col("held") / limit).cast("int").alias("__parts")))
+    part = F.pmod(F.xxhash64(by), F.coalesce("__parts", F.lit(1))).cast("int").alias("__part")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)).alias("__part")
+    dealt = left.join(hot, on, "left").select(*left.columns, part)
+    sent = right.join(hot, on, "left").select(*right.columns, parts)
+    return dealt.join(sent, [*on, "__part"], how).drop("__part")
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -101,7 +179,6 @@ def unused(df: DataFrame, name: str) -> str:
 def passing(df: DataFrame, text_col: str, kind: T.DataType, work) -> tuple[DataFrame, str]:
     """``df`` with one more column, made by ``work(texts)`` from whole Arrow
     arrays of its texts, and that column's name."""
-    small_batches(df.sparkSession)
     out = unused(df, "made")
     names, at = df.columns, df.columns.index(text_col)
     flat = df.toDF(*[f"c{i}" for i in range(len(names))])

@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, written
+from .common import drop, spread_join, temporaries, written
 
 
-def _star(e: DataFrame, small: bool) -> DataFrame:
-    """One round of large-star or small-star (Kiveris et al., 2014)."""
+def _star(e: DataFrame, rows: int, small: bool) -> DataFrame:
+    """One round of large-star or small-star (Kiveris et al., 2014).  A node
+    with very many neighbours is dealt out over several tasks."""
     if small:
         near = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     else:
         near = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = near.join(low, "u")
+    low = written(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("held")), "low")
+    joined = spread_join(near, low.drop("held"), ["u"], "v", rows if small else 2 * rows, low.select("u", "held"))
     if small:
         linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
     else:
         linked = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.where("u <> v").distinct()
+    out = written(linked.where("u <> v").distinct(), "edges")
+    drop(low)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,13 +32,15 @@ def components(edges: DataFrame) -> DataFrame:
     rows.  Alternating stars: about log n rounds, each linear in the edges,
     each kept in the shared folder; nothing comes to the driver but a checksum.
     """
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
-    while True:
-        sum_of = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first()
-        if sum_of == seen or not sum_of[0]:
-            break
-        seen, last = sum_of, now
-        now = written(_star(_star(now, small=False), small=True), "edges")
-        drop(last)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    with temporaries() as keep:
+        now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        seen = None
+        while True:
+            sum_of = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first()
+            if sum_of == seen or not sum_of[0]:
+                break
+            seen, last = sum_of, now
+            large = _star(now, sum_of[0], small=False)
+            now = _star(large, sum_of[0], small=True)
+            drop(last, large)
+        return keep(written(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components"))

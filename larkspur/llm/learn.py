@@ -17,12 +17,14 @@ MAX_ROWS = 12_000
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, id_col: str, text_col: str, label_id_col: str, max_rows: int) -> DataFrame:
     """(text, y) of at most ``max_rows`` labelled rows outside fold 0, taken by
     hash of the id and kept in the shared folder.  Labels that are null or not
-    0 or 1 are no labels."""
+    0 or 1 are no labels.  Of documents that repeat an id, the least text
+    counts, once."""
     good = F.col(target).isin(0, 1) & (fold_of(F.col(label_id_col)) != 0) & F.col(label_id_col).isNotNull()
     picked = labels.where(good).select(F.col(label_id_col).alias("id"), F.col(target).cast("int").alias("y"))
     picked = picked.orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return written(source.join(F.broadcast(picked), "id").select("text", "y"), "sample")
+    one = source.join(F.broadcast(picked), "id").groupBy("id").agg(F.min(F.struct("text", "y")).alias("one"))
+    return written(one.select("one.text", "one.y"), "sample")
 
 
 class Sparse:

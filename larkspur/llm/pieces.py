@@ -21,8 +21,8 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import small_batches
 from .text import slices, translated
 
 MARK = "▁"
@@ -250,7 +250,6 @@ def _runs(batch: pa.RecordBatch, rows: int = 256):
 def load(spark, model_path: str):
     """The model file, read by the driver and shipped (its size is that of a
     vocabulary, fixed for all inputs)."""
-    small_batches(spark)
     with open(model_path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 
@@ -288,11 +287,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: s
     give an empty text; bytes that are no UTF-8 become replacement characters;
     ids outside the vocabulary raise."""
     shared = load(encoded.sparkSession, model_path)
-    renamed = encoded.withColumnRenamed(ids_col, "ids") if ids_col != "ids" else encoded
-    rest = [f"c{i}" for i in range(len(renamed.columns) - 1)]
-    names = [c for c in renamed.columns if c != "ids"]
-    source = renamed.select(*[F.col(f"`{c}`").alias(r) for c, r in zip(names, rest)], "ids")
-    schema = ", ".join([f"{r} {renamed.schema[c].dataType.simpleString()}" for c, r in zip(names, rest)] + [f"ids {renamed.schema['ids'].dataType.simpleString()}", "out string"])
-    done = source.mapInArrow(_map(shared, kind, "ids", "out", decode_ids), schema)
-    back = dict(zip(names, rest))
-    return done.select(*[F.col("ids").alias(ids_col) if c == "ids" else F.col(back[c]).alias(c) for c in renamed.columns], F.col("out").alias(out_col))
+    names, at = encoded.columns, encoded.columns.index(ids_col)
+    flat = encoded.toDF(*["ids" if i == at else f"c{i}" for i in range(len(names))])
+    schema = T.StructType([*flat.schema.fields, T.StructField("out", T.StringType())])
+    return flat.mapInArrow(_map(shared, kind, "ids", "out", decode_ids), schema).toDF(*names, out_col)
