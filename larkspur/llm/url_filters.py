@@ -5,7 +5,8 @@ some rule could equal; the expressions meet the rules in an equi-join on a
 short hash prefix, full digests confirm, and the longest rule decides.
 
 The expansion is bounded by the rules' shapes (label count, path length), not
-by their number: a URL yields at most one expression for each shape.
+by their number: a URL yields at most one expression for each shape that it is
+long enough for.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, sized
+from .common import ascii_lower, spread_join
 
 URL_PARTS = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
 PREFIX_HEX = 8
@@ -49,6 +50,24 @@ def prepare_rules(rules: DataFrame) -> DataFrame:
     )
 
 
+def _shapes(ruled: DataFrame) -> DataFrame:
+    """One row: the path lengths that rules of each label count have.  A host
+    has at most 127 labels, so the row grows with the distinct path lengths."""
+    of_labels = ruled.groupBy("labels").agg(F.collect_set("plen").alias("plens"))
+    return of_labels.agg(F.collect_list(F.struct("labels", "plens")).alias("shapes"))
+
+
+def _expressions(host: Column, path: Column, shapes: Column) -> Column:
+    """The expressions of a URL, for the shapes that it is long enough for."""
+    fits = F.filter(shapes, lambda s: (host != "") & (s["labels"] <= F.size(F.split(host, r"\.", -1))))
+
+    def of_labels(s: Column) -> Column:
+        suffix = F.call_function("substring_index", host, F.lit("."), -s["labels"])
+        return F.transform(F.filter(s["plens"], lambda p: p <= F.length(path)), lambda p: F.concat(suffix, F.substring(path, F.lit(1), p)))
+
+    return F.flatten(F.transform(fits, of_labels))
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", broadcast_rules: int = 200_000) -> DataFrame:
     """One row for each row of ``pages``: id, host, path, rule, verdict.
 
@@ -56,30 +75,26 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     rule's.  The longest rule wins, then the longer host; without one, rule is
     null and verdict is ``default``.  Null URLs and ids pass through (empty
     host and path); repeated rows stay repeated; other columns are not read.
-    Rules are broadcast up to ``broadcast_rules`` rows, else joined by shuffle.
+    Rules are broadcast up to ``broadcast_rules`` rows, else joined by shuffle,
+    where expressions that many URLs share are dealt out.
+
+    Pages are scanned once and keep a number of their own, by which a page's
+    hits are reduced before they are shuffled: a URL that many rows share, or
+    that none can read, is no hot key.
     """
     host, path = split_url(F.col(url_col))
-    base = pages.select(F.col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
     ruled = prepare_rules(rules)
-    # a few hundred at most: DNS names have up to 127 labels, and path lengths are the distinct ones of the rules
-    shapes = [(r.labels, r.plen) for r in ruled.select("labels", "plen").distinct().collect()]
-    if not shapes:
-        return base.select(id_col, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    labels = F.size(F.split("host", r"\.", -1))
-    expressions = F.array(
-        *[
-            F.when((labels >= n) & (F.length("path") >= p), F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, p)))
-            for n, p in sorted(shapes)
-        ]
-    )
-    tried = (
-        base.where(F.col("host") != "")
-        .select("host", "path", F.explode(F.filter(expressions, lambda e: e.isNotNull())).alias("expression"))
-        .withColumn("full", _digest(F.col("expression")))
-        .select("host", "path", "full", F.substring("full", 1, PREFIX_HEX).alias("short"))
-    )
-    hits = tried.join(sized(ruled, broadcast_rules), "short").where(F.col("full") == F.col("digest"))
-    won = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), "hlen", "rule", "rule_action")).alias("won"))
-    return base.join(won, ["host", "path"], "left").select(
-        id_col, "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.rule_action", F.lit(default)).alias("verdict")
-    )
+    count = ruled.count()
+    base = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).withColumn("uid", F.monotonically_increasing_id())
+    tried = base.join(F.broadcast(_shapes(ruled)), how="cross")  # one row
+    tried = tried.select("uid", "id", "host", "path", F.explode_outer(_expressions(F.col("host"), F.col("path"), F.col("shapes"))).alias("expression"))
+    tried = tried.withColumn("full", _digest(F.col("expression"))).withColumn("short", F.coalesce(F.substring("full", 1, PREFIX_HEX), F.lit("")))
+    known = ruled.select("short", "digest", "hlen", "rule", "rule_action")
+    if count <= broadcast_rules:
+        hits = tried.join(F.broadcast(known), "short", "left")
+    else:
+        hits = spread_join(tried, known, ["short"], "uid", tried.count(), how="left")
+    rank = F.when(F.col("full") == F.col("digest"), F.struct(F.length("rule").alias("n"), "hlen", "rule", "rule_action"))
+    same = [F.first(c).alias(c) for c in ("id", "host", "path")]  # equal in all rows of a number
+    won = hits.groupBy("uid").agg(*same, F.max(rank).alias("won"))
+    return won.select(F.col("id").alias(id_col), "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.rule_action", F.lit(default)).alias("verdict"))

@@ -1,10 +1,11 @@
 """URL filters: parsing, precedence, nulls, repeated rows, many rules."""
 
 import random
+import time
 
 import pytest
 
-from larkspur.llm import url_filters
+from larkspur.llm import common, url_filters
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block")]
 
@@ -43,6 +44,25 @@ def test_many_rules_like_brute_force(spark, broadcast):
         assert got[i] == (h, "/" + p, best and best[0] + best[1], best[2] if best else "block")
 
 
+def test_thousands_of_rules_and_shapes(spark):
+    rules = [(".".join("ab"[k >> i & 1] for i in range(1 + k % 6)), "/" + "x" * (k % 600), "block") for k in range(3000)]
+    urls = ["http://" + "a.b." * 40 + "b.a/" + "x" * 700, "http://c/", None]
+    began = time.perf_counter()
+    got = judge(spark, urls, rules)
+    fits = [h + p for h, p, _ in rules if ("." + urls[0][7:].split("/")[0]).endswith("." + h) and ("/" + "x" * 700).startswith(p)]
+    assert len(got[0][2]) == max(map(len, fits)) and got[1][2] is None and got[2] == ("", "", None, "allow")
+    assert time.perf_counter() - began < 10
+
+
+def test_shared_urls_are_no_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    urls = ["http://a.example.com/en/7"] * 300 + [None] * 300 + ["http://example.com/en/8"] * 50
+    for broadcast in (0, 100):
+        got = judge(spark, urls, broadcast_rules=broadcast)
+        assert [got[i][2] for i in (0, 299, 300, 600)] == ["example.com/en/7"] * 2 + [None, "com/en/"]
+        assert len(got) == 650
+
+
 def test_empty_tables_and_odd_rules(spark):
     assert judge(spark, []) == {}
     assert judge(spark, ["http://a/b"], [])[0] == ("a", "/b", None, "allow")
