@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .text import slices
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -85,7 +85,7 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                     stack.pop()
                 marks = [name]
                 for a in MARKS.findall(tag):
-                    marks.extend(WORDS.findall("".join(a).lower())[:8])
+                    marks.extend(WORDS.findall("".join(a).lower()))
                 stack.append((name, tuple(marks)))
             in_link = False
         elif m["raw"]:
@@ -94,7 +94,10 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], int]]:
     return out
 
 
-def features(blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
+def features(blocks: list[tuple[str, tuple[str, ...], int]], before: int = 0, total: int = 0) -> np.ndarray:
+    """A vector for each block; ``before`` blocks of the page's ``total`` come
+    first, where these are a part of it."""
+    total = total or len(blocks)
     out = np.zeros((len(blocks), WIDTH), np.float32)
     for i, (text, path, linked) in enumerate(blocks):
         for mark in path:
@@ -110,7 +113,7 @@ def features(blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
             sum(text.count(c) for c in ".!?") / len(ws),
             float(path[-1:] == ("p",)),
             float(path[-1:] == ("li",)),
-            i / len(blocks),
+            (before + i) / total,
             len(path) / 16,
         )
     return out
@@ -128,12 +131,13 @@ class Labeller:
         self.p["V"] = (rng.standard_normal(2 * HIDDEN) / np.sqrt(HIDDEN)).astype(np.float32)
         self.p["c"] = np.zeros(1, np.float32)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, side: str):
-        """States of one direction; x is (time, batch, width), mask (time, batch)."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, side: str, state=None):
+        """Yields the steps of one direction: time, state before, gates, state
+        after; x is (time, batch, width), mask (time, batch)."""
         steps, batch, _ = x.shape
         w, u = self.p["W" + side][:WIDTH], self.p["W" + side][WIDTH:]
         given = x @ w + self.p["b" + side]
-        h, c, kept = np.zeros((batch, HIDDEN), np.float32), np.zeros((batch, HIDDEN), np.float32), []
+        h, c = state or (np.zeros((batch, HIDDEN), np.float32), np.zeros((batch, HIDDEN), np.float32))
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
             z = given[t] + h @ u
             gates = 1 / (1 + np.exp(-z[:, : 3 * HIDDEN]))
@@ -142,21 +146,42 @@ class Labeller:
             m = mask[t][:, None]
             c_new = (f * c + i * g) * m
             h_new = o * np.tanh(c_new) * m
-            kept.append((t, h, c, i, f, o, g, c_new, h_new))
+            yield t, h, c, i, f, o, g, c_new, h_new
             h, c = h_new, c_new
-        return kept
 
-    def logits(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
-        runs = {s: self._run(x, mask, s) for s in "fb"}
+    def _side(self, side: str) -> np.ndarray:
+        k = "fb".index(side)
+        return self.p["V"][k * HIDDEN : (k + 1) * HIDDEN]
+
+    def logits(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        out = np.full(x.shape[:2], self.p["c"][0], np.float32)
+        for s in "fb":
+            for step in self._run(x, mask, s):
+                out[step[0]] += step[-1] @ self._side(s)
+        return out
+
+    def logits_of(self, blocks: list, most: int) -> np.ndarray:
+        """The logits of one page of any length, ``most`` blocks at a time: of
+        each part only the state at its end is carried on."""
+        out = np.full(len(blocks), self.p["c"][0], np.float32)
+        for s in "fb":
+            state = None
+            starts = range(0, len(blocks), most)
+            for at in starts if s == "f" else reversed(starts):
+                part = blocks[at : at + most]
+                x, mask = padded([features(part, at, len(blocks))])
+                for step in self._run(x, mask, s, state):
+                    out[at + step[0]] += (step[-1] @ self._side(s))[0]
+                    state = step[-1], step[-2]
+        return out
+
+    def gradients(self, x, mask, y):
+        runs = {s: list(self._run(x, mask, s)) for s in "fb"}
         states = np.zeros((*x.shape[:2], 2 * HIDDEN), np.float32)
         for k, s in enumerate("fb"):
             for step in runs[s]:
                 states[step[0], :, k * HIDDEN : (k + 1) * HIDDEN] = step[-1]
         out = states @ self.p["V"] + self.p["c"]
-        return (out, states, runs) if keep else out
-
-    def gradients(self, x, mask, y):
-        out, states, runs = self.logits(x, mask, keep=True)
         d_out = (1 / (1 + np.exp(-out)) - y) * mask / mask.sum()
         grads = {"V": np.einsum("tbh,tb->h", states, d_out), "c": np.array([d_out.sum()])}
         for k, s in enumerate("fb"):
@@ -334,17 +359,21 @@ def labeller() -> Labeller:
     return _trained[0]
 
 
-def main_text(pages: list[str], own: Labeller) -> list[str]:
+#: Blocks of a page that are labelled at once; a longer page goes on in parts.
+PART = 10_000
+
+
+def main_text(pages: list[str], own: Labeller, part: int = PART) -> list[str]:
     blocks = [leaves(p or "") for p in pages]
-    labels = own.label([features(b) for b in blocks])
+    labels = own.label([features(b if len(b) <= part else []) for b in blocks])
+    labels = [own.logits_of(b, part) > 0 if len(b) > part else good for b, good in zip(blocks, labels)]
     return ["\n".join(x[0] for x, good in zip(b, keep) if good) for b, keep in zip(blocks, labels)]
 
 
 def _batches(shared):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, "html"):
                 texts = main_text(part.column("html").to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
@@ -357,10 +386,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     The text is that of the blocks labelled main, joined in page order by line
     feeds.  Null and empty pages, and pages without a main block, give an empty
     text; markup cut off at a page's end is markup; repeated rows and null ids
-    are rows like others.  Other columns are not read.  The model is a few
-    thousand weights, whatever the input.
+    are rows like others.  Pages may have any length: beyond ``PART`` blocks
+    the states are carried from part to part.  Other columns are not read.  The
+    model is a few thousand weights, whatever the input.
     """
-    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model or labeller())
     kinds = dict(pages.dtypes)
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

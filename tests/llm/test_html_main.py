@@ -45,6 +45,19 @@ def test_deep_and_long_pages_end():
     assert len(html_main.main_text(["<p>word word</p>" * 5000], html_main.labeller())) == 1
 
 
+def test_parts_of_a_long_page_carry_the_states():
+    own = html_main.labeller()
+    rng = random.Random(5)
+    pages = [html_main.made_page(rng)[0] * 3 for _ in range(20)]
+    assert html_main.main_text(pages, own, part=4) == html_main.main_text(pages, own)
+    assert html_main.main_text(["<p>word word</p>" * 25_000], own)[0].count("word word") > 20_000
+
+
+def test_every_class_word_is_read():
+    page = '<div class="col-xs col-sm hidden-print widget-area a b c sidebar">x</div>'
+    assert html_main.leaves(page)[0][1][-1] == "sidebar"
+
+
 def test_gradients():
     rng, own = np.random.default_rng(0), html_main.Labeller()
     own.p = {k: v.astype(np.float64) for k, v in own.p.items()}
