@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import learn, statistics
-from .common import small_batches
+from .common import drop
 from .text import slices
 
 Condition = tuple[int, bool, float]  # statistic, whether it is greater, threshold
@@ -144,7 +144,6 @@ def _stat_batches(extra: str):
 
 
 def with_statistics(df: DataFrame, extra: str) -> DataFrame:
-    small_batches(df.sparkSession)
     kind = dict(df.dtypes)[extra]
     return df.select(extra, "text").mapInArrow(_stat_batches(extra), f"{extra} {kind}, " + ", ".join(f"{n} double" for n in statistics.NAMES))
 
@@ -155,6 +154,7 @@ def learned(docs: DataFrame, labels: DataFrame, target: str = "quality", id_col:
     of both classes the score is one constant."""
     sample = learn.labelled_sample(docs, labels, target, id_col, text_col, label_id_col, max_rows)
     table = with_statistics(sample, "y").toArrow().to_pandas().sort_values(["y", *statistics.NAMES])
+    drop(sample)
     return fit(table[list(statistics.NAMES)].to_numpy(), table["y"].to_numpy())
 
 

@@ -3,7 +3,7 @@
 Words that look disguised (leetspeak, inserted separators, spaced letters,
 repeated letters) become lattices of the characters and word boundaries that
 they may stand for, and Viterbi's algorithm decodes them under a model of
-words: those that the labelled texts hold often, or a character trigram model.
+words: those that the corpus holds often, or a character trigram model.
 The restored words are scored by a sparse logistic model over the words and word
 beginnings that labelled texts show to be toxic.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import learn
-from .common import passing, small_batches
+from .common import drop, passing, written
 from .text import SPACED, mix, shingle_sets, slices, words
 
 #: What a character of a disguised word may stand for, besides itself.
@@ -33,9 +33,10 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
-BEAM = 48
-#: Words of the lexicon occur so often in the sample at least.
-COMMON = 5
+#: Words of the lexicon occur so often at least, and make such a share of the corpus's words: one over it bounds their number.
+COMMON, SHARE = 5, 1e-5
+#: Distinct words that a task counts before it passes its counts on.
+HELD_WORDS = 200_000
 PREFIXES = (4, 5, 6, 7, 8)
 REMEMBERED = 100_000
 #: Near-equal texts count once: so many least hashes of three-word shingles, looked up in bands, alike in half at least.
@@ -169,7 +170,8 @@ def _with_letter(states: dict, new: dict, o: str, cost: float, model: Letters) -
 def decode(word: str, model: Letters, spaced: bool = False) -> list[str]:
     """The best restored words by Viterbi.  A mark may be a letter, nothing or
     the boundary of two words; where letters were ``spaced``, each gap may be
-    nothing or a boundary."""
+    nothing or a boundary.  No state is dropped: there are at most as many as
+    pairs of the letters that signs stand for, and as the lexicon's beginnings."""
     states: dict[str, tuple] = {"": (0.0, None)}
     for i, c in enumerate(word):
         if spaced and i:
@@ -195,10 +197,6 @@ def decode(word: str, model: Letters, spaced: bool = False) -> list[str]:
             if not c.isalnum():
                 s, out = _ended(states, model)
                 _put(new, "", s - (2.0 if c in LEET else 0.7), (out, " "))
-        if len(new) > BEAM:  # words of the lexicon are few and all stay
-            free = sorted((x for x in new if not x.startswith("=")), key=lambda x: -new[x][0])
-            for state in free[BEAM:]:
-                del new[state]
         states = new
     out, found = _ended(states, model)[1], []
     while out:
@@ -300,24 +298,54 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _trigram_batches(batches):
+def _word_batches(batches):
+    """(word, n) of the plain words of texts, as cores, without the letters
+    that stand alone three or more in a row: these are words written apart."""
+    total: Counter = Counter()
+
+    def told():
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
+
     for batch in batches:
         for part in slices(batch, "text"):
             codes, distinct, counts = words(part.column("text"), SPACED)
-            total, decoded = Counter(), [w.decode() for w in distinct]
             often = np.bincount(codes, minlength=len(distinct))
-            # letters in a row are words written apart, not words
+            decoded = [w.decode() for w in distinct]
             at = np.array([len(w) == 1 for w in decoded], bool)[codes]
             run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
             apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
-            for w, n, lone in zip(decoded, often.tolist(), apart.tolist()):
+            for w, n in zip(decoded, (often - apart).tolist()):
                 w = shortened(core(w))
-                if w.isalpha() and not disguised(w):
-                    if n > lone:
-                        total["=" + w] += n - lone
-                    for t in trigrams(w):
-                        total[t] += min(n, 50)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
+                if n and w.isalpha() and not disguised(w):
+                    total[w] += n
+        if len(total) > HELD_WORDS:
+            yield told()
+            total.clear()
+    if total:
+        yield told()
+
+
+def _trigram_batches(batches):
+    """(gram, weight) of distinct words; a word weighs the root of its count."""
+    total: Counter = Counter()
+    for batch in batches:
+        for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            for t in trigrams(w):
+                total[t] += math.sqrt(n)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], ["gram", "weight"])
+
+
+def letters_of(docs: DataFrame, text_col: str = "text") -> Letters:
+    """The model of words of all documents.  Words are counted on the cluster;
+    to the driver come trigrams (bounded by the alphabet) and the words whose
+    share of all is ``SHARE`` at least (at most one over it)."""
+    source = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_batches, "word string, n bigint")
+    counted = written(source.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    every = counted.agg(F.sum("n")).first()[0] or 0
+    grams = counted.mapInArrow(_trigram_batches, "gram string, weight double").groupBy("gram").agg(F.round(F.sum("weight"), 6).alias("weight")).collect()
+    lexicon = counted.where(F.col("n") >= max(COMMON, math.ceil(SHARE * every))).collect()
+    drop(counted)
+    return Letters({r.gram: r.weight for r in sorted(grams)}, {r.word: r.n for r in sorted(lexicon)})
 
 
 def _keys(texts: pa.Array) -> list[int]:
@@ -407,18 +435,21 @@ def _count_batches(shared):
 
 def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", max_rows: int = learn.MAX_ROWS) -> ToxicModel:
     """A model of ``target`` (0 or 1) from at most ``max_rows`` labelled rows
-    outside fold 0.  To the driver come trigram counts (bounded by the
-    alphabet), the sample's common words, a sketch of each of the sample's texts, all features that show
+    outside fold 0; the words and trigrams by which disguises are read come
+    from all of ``docs``, without labels.  To the driver come trigram counts
+    (bounded by the alphabet), the corpus's common words (bounded by their
+    share), a sketch of each of the sample's texts, all features that show
     toxic texts by a z test, and the sample's counts of them.  In the test
-    near-equal texts of a class count as one.  Without labels of both classes the score is one constant."""
+    near-equal texts of a class count as one.  Null, empty and repeated rows
+    count as they are; without labels of both classes the score is one
+    constant."""
     spark = docs.sparkSession
     sample = learn.labelled_sample(docs, labels, target, id_col, text_col, label_id_col, max_rows)
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return ToxicModel(Letters({}), [], np.zeros(0), learn.logistic(np.zeros((bad + good, 0)), np.r_[np.ones(bad), np.zeros(good)])[1])
-    grams = sample.mapInArrow(_trigram_batches, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).where(~F.col("gram").startswith("=") | (F.col("n") >= COMMON)).collect()
-    letters = Letters({r.gram: r.n for r in grams if r.gram[0] != "="}, {r.gram[1:]: r.n for r in grams if r.gram[0] == "="})
+    letters = letters_of(docs, text_col)
     near = {1: [], 0: []}
     for r in sample.mapInArrow(_sketch_batches, "key bigint, y int, sketch binary").collect():
         near[r.y].append((r.key, bytes(r.sketch)))
@@ -441,6 +472,7 @@ def learned(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: s
     value = np.log1p(100 * np.fromiter(chain.from_iterable(r.value for r in rows), float, len(row)))
     x = learn.Sparse(row, column, value, (len(rows), len(features)))
     weights, bias = learn.logistic(x, y, ridge=5e-5, positive=True, rounds=800)
+    drop(sample)
     return ToxicModel(letters, features, weights, bias)
 
 
@@ -458,7 +490,6 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     """(id, score) for each row of ``docs``; null, empty and wordless texts
     score as texts without any toxic word; repeated rows and null ids stay.
     Only the text is looked at."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_score_batches(shared), f"id {kind}, score double")
@@ -466,7 +497,9 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
 
 
 def without_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``least``, with all columns."""
+    """The rows of ``docs`` that score below ``least``, with all columns.  Null
+    and empty texts score as texts without any toxic word; rows that repeat are
+    judged alike; columns may have any names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored, name = passing(docs, text_col, T.DoubleType(), lambda texts: pa.array(shared.value.score(texts)))
     return scored.where(F.col(name) < least).drop(name)

@@ -57,6 +57,21 @@ def test_edges(spark, model):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def test_letters_do_not_depend_on_layout(spark, documents):
+    one, many = (toxicity.letters_of(documents.repartition(n)) for n in (1, 24))
+    assert one.tri == many.tri and one.lexicon == many.lexicon and len(one.lexicon) > 100
+    assert toxicity.letters_of(documents.limit(0)).lexicon == {}
+
+
+def test_repeated_ids_are_sampled_once(spark):
+    docs = spark.createDataFrame([(k % 10, f"text {k}") for k in range(200)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 10)], "doc_id bigint, toxic int")
+    from larkspur.llm import learn
+
+    sample = learn.labelled_sample(docs, labels, "toxic", "doc_id", "text", "doc_id", 5)
+    assert 0 < sample.count() <= 5
+
+
 def test_without_usable_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id bigint, text string")
     for labels in ([], [(1, None)], [(None, 1)], [(1, 0), (2, 0)], [(1, 7)]):
