@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import passing, small_batches
+from .common import passing
 from .text import ALNUM, gathered, slices, translated
 
 #: Benchmark text of one part: a task holds the automaton of one part at a time (some ten nodes for each byte of text).
@@ -73,20 +73,26 @@ def _shared_parts(benchmark: DataFrame, *args) -> list:
     return [benchmark.sparkSession.sparkContext.broadcast(part) for part in _benchmark_parts(benchmark, *args)]
 
 
+_made: dict = {}
+
+
 class _Automata:
-    """The parts' automata.  One part's is built once; of several, each is
-    built when its turn comes and forgotten with its windows."""
+    """The parts' automata.  One part's is built once for each worker; of
+    several, each is built when its turn comes and forgotten with its windows."""
 
     def __init__(self, shared: list):
-        self.shared, self.only = shared, None
+        self.shared = shared
 
     def __iter__(self):
+        if len(self.shared) == 1:
+            own = self.shared[0]
+            if _made.get("part") is not own:  # the same object in all tasks of a worker
+                _made.update(part=own, found=build(own.value))
+            yield _made["found"]
+            return
         for part in self.shared:
-            found = self.only or build(part.value)
-            if len(self.shared) == 1:
-                self.only = found
-            else:
-                part.__dict__.pop("_value", None)  # the worker's copy; it is read again from its file
+            found = build(part.value)
+            part.__dict__.pop("_value", None)  # the worker's copy; it is read again from its file
             yield found
             del found
 
@@ -176,7 +182,6 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     beyond ``MAX_BENCHMARK_BYTES`` is scanned in parts.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     shared = _shared_parts(benchmark, item_col, list(item_text_cols), window)
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_scan_batches(shared, spans), SCHEMA.format(id=kind))
@@ -184,19 +189,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_cols: tuple[str, ...] = ("text",), window: int = 10) -> DataFrame:
-    """The rows of ``docs`` in which no window occurs, with all columns."""
+    """The rows of ``docs`` in which no window occurs, with all columns.  Null
+    and empty texts stay, as does everything beside an empty benchmark; rows
+    that repeat are judged alike; columns may have any names."""
     shared = _shared_parts(benchmark, item_col, list(item_text_cols), window)
     if len(shared) < 2:
-        built: list = []
-
-        def clean(texts: pa.Array) -> pa.Array:
-            if not built:
-                built.append(_Automata(shared))
-            return _clean(texts, built[0])
-
-        flagged, name = passing(docs, text_col, T.BooleanType(), clean)
+        flagged, name = passing(docs, text_col, T.BooleanType(), lambda texts: _clean(texts, _Automata(shared)))
         return flagged.where(F.col(name)).drop(name)
-    small_batches(docs.sparkSession)
     names, at = docs.columns, docs.columns.index(text_col)
     flat = docs.toDF(*["text" if i == at else f"c{i}" for i in range(len(names))])
 

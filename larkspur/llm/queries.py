@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import caps, decontaminate, html_main, katz, minhash, pieces, quality, secrets, toxicity, url_filters
-from .common import fold_of
+from .common import fold_of, small_batches
 
 #: Rules of the URL query: host, path, action.
 URL_RULES = [
@@ -19,6 +19,8 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; the session is set for whole texts."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,7 +46,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spans=False)
     items = F.array_join(F.array_sort("items"), ",")
     return found.select(
         "doc_id",
@@ -80,7 +82,8 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    # the documents tell their sources, as owners; each document is a repository of its own
+    found = secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id")
     return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest_columns(F.col("spans")).items()])
 
 
@@ -145,8 +148,10 @@ def _secret_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS txt FROM documents),
 every AS ({every}),
-held AS (SELECT val, count(DISTINCT coalesce(source, '')) AS owners FROM every GROUP BY val),
-judged AS (SELECT e.*, h.owners <= 2 AS live FROM every e JOIN held h USING (val)),
+held AS (SELECT val, count(DISTINCT coalesce(source, '')) <= 2 AND count(DISTINCT coalesce(doc_id::VARCHAR, '')) <= 20
+                 AND regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]')
+                 AND len(list_distinct(string_split(val, ''))) >= least(ceil(length(val) / 2.0), 8) AS live FROM every GROUP BY val),
+judged AS (SELECT e.*, h.live FROM every e JOIN held h USING (val)),
 kept AS (SELECT * FROM judged j WHERE kind < 3 OR (live AND NOT EXISTS (
   SELECT 1 FROM judged b WHERE b.rid = j.rid AND b.kind < 3 AND (b.s = j.s OR b.s + b.n = j.s + j.n)))),
 summed AS (

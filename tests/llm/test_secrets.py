@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -21,35 +22,43 @@ def base(text):
     return sorted(out)
 
 
-def plain(rows):
+def random_looking(value):
+    mixed = re.search("[0-9]", value) and re.search("[A-Za-z]", value)
+    return bool(mixed) and len(set(value)) >= min(-(-len(value) // 2), 8)
+
+
+def plain(rows, repo=2):
+    """Each row's spans, and whether each value is live; ``repo`` is the place of the repository in a row."""
     every = {}
     for i, (_, t, _) in enumerate(rows):
         blobs = [(m.start(), 3, m.end(), m[0]) for m in re.finditer("[A-Za-z0-9+/_]{32,}", t or "") if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
         every[i] = sorted(base(t) + blobs)
-    held = defaultdict(set)
+    owners, repos = defaultdict(set), defaultdict(set)
     for i, spans in every.items():
         for s in spans:
-            held[s[3]].add(rows[i][2] or "")
+            owners[s[3]].add(rows[i][2] or "")
+            repos[s[3]].add("" if rows[i][repo] is None else str(rows[i][repo]))
+    live = {v: random_looking(v) and len(owners[v]) <= 2 and len(repos[v]) <= 20 for v in owners}
     out = []
     for i, spans in every.items():
         fixed = [s for s in spans if s[1] < 3]
-        out.append((rows[i][0], [s for s in spans if s[1] < 3 or (len(held[s[3]]) <= 2 and not any(b[0] == s[0] or b[2] == s[2] for b in fixed))], held))
+        out.append((rows[i][0], [s for s in spans if s[1] < 3 or (live[s[3]] and not any(b[0] == s[0] or b[2] == s[2] for b in fixed))], live))
     return out
 
 
 def digest(rows):
     shown = lambda xs: ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b, _ in xs)
     out = []
-    for i, spans, held in plain(rows):
+    for i, spans, known in plain(rows):
         n = [sum(s[1] == k for s in spans) for k in range(3)]
-        live = sum(len(held[s[3]]) <= 2 for s in spans)
+        live = sum(known[s[3]] for s in spans)
         out.append((i, *n, live, len(spans) - live, hashlib.sha256(shown([s for s in spans if s[1] < 3]).encode()).hexdigest(), shown(spans)))
     return sorted(out, key=str)
 
 
 def texts():
     rng = random.Random(8)
-    parts = ["token = ", "Secret:", 'api_key="', "APIKEY='", "password: token: abcdefgh ", "passwd=abc", HEX40, HEX40.upper(), "AKIA" + "Q" * 16, "AKIA" + "Q" * 15, "abc", " ", "\n", "é日\U0001f600", "ſecret=abcdefgh", "a" * 40 + "1", "=", "a1b2" * 12, "zzz9"]
+    parts = ["token = ", "Secret:", 'api_key="', "APIKEY='", "password: token: abcdefgh ", "passwd=abc", HEX40, HEX40.upper(), "AKIA" + "Q" * 16, "AKIA" + "Q" * 15, "abc", " ", "\n", "é日\U0001f600", "ſecret=abcdefgh", "a" * 40 + "1", "=", "a1b2" * 12, "a1b2c3d4e5" * 4, "zzz9"]
     rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))), rng.choice(["s1", "s2", "s3", "s4", None])) for k in range(300)]
     return rows + [(1, None, "s1"), (None, "token=abcdef", None), (7, "", "s1"), (7, "", "s1"), (9, ("x" * 50 + f" token={HEX40} ") * 400, "s2")]
 
@@ -87,6 +96,25 @@ def test_redaction(spark):
     assert got.where("n_chars <> length(text)").count() == 0
 
 
+def test_repositories_of_one_owner(spark):
+    rows = [(k, f"token={HEX40}" if k < 21 else "token=k3y-of-20-repositories", "s1") for k in range(41)]
+    got = {r.doc_id: r.spans for r in secrets.scan(frame(spark, rows), repo_col="doc_id").collect()}
+    assert (got[0][0].repos, got[0][0].owners, got[0][0].live) == (21, 1, False) and got[40][0].live
+    few = secrets.scan(frame(spark, [(1, "token=aaaa1111aaaa password=changeme", "s1")])).collect()[0].spans
+    assert [s.live for s in few] == [False, False]
+
+
+def test_tens_of_thousands_of_secrets_in_one_text(spark):
+    rng = random.Random(2)
+    text = "".join(f"é token={rng.getrandbits(40):010x} x" for _ in range(32_000))
+    df = frame(spark, [(1, text, "s")]).withColumn("n_chars", F.lit(1))
+    began = time.perf_counter()
+    spans = secrets.scan(df).collect()[0].spans
+    assert len(spans) == 32_000 and all(text[s.start : s.end].startswith("token=") and s.end - s.start == 16 for s in spans)
+    assert secrets.redacted(df).collect()[0].text == "é [SECRET] x" * 32_000
+    assert time.perf_counter() - began < 60
+
+
 def test_empty_table_and_no_python(spark):
     assert secrets.scan(frame(spark, [])).count() == 0 and secrets.redacted(frame(spark, [])).count() == 0
     p = secrets.scan(frame(spark, texts()))._jdf.queryExecution().executedPlan().toString()
