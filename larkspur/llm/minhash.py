@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import graph
-from .common import drop, partitions, passing, sized, written
+from .common import drop, partitions, passing, sized, spread_join, temporaries, written
 from .text import mix, shingle_sets, slices
 
 BINS = 256
@@ -68,11 +68,15 @@ def bands(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return state
 
 
-def _nodes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 64-bit name for each whole set: equal sets have equal names."""
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
-    sizes = np.diff(offsets)
-    return mix(sums[offsets[1:]] - sums[offsets[:-1]] + sizes.astype(np.uint64)).view(np.int64)
+def _names(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A name of 128 bits for each whole set, in two halves: two sums of the
+    set's hashes, mixed in two ways.  Equal sets have equal names."""
+    sizes = np.diff(offsets).astype(np.uint64)
+    out = []
+    for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(seed)), dtype=np.uint64)])
+        out.append(mix(sums[offsets[1:]] - sums[offsets[:-1]] + sizes).view(np.int64))
+    return out[0], out[1]
 
 
 def _sketch_batches(size: int):
@@ -86,14 +90,10 @@ def _sketch_batches(size: int):
                 banded = bands(sketch(hashes, keep)).view(np.int64)
                 width = banded.shape[1]
                 ends = np.concatenate([[0], np.cumsum(np.where(some, width, 0))]).astype(np.int32)
+                names = [pa.array(np.where(some, x, 0), mask=~some) for x in _names(hashes, offsets)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"),
-                        pa.array(sizes),
-                        pa.array(np.where(some, _nodes(hashes, offsets), 0), mask=~some),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(banded.reshape(-1))),
-                    ],
-                    ["id", "n_shingles", "node", "bands"],
+                    [part.column("id"), pa.array(sizes), *names, pa.ListArray.from_arrays(pa.array(ends), pa.array(banded.reshape(-1)))],
+                    ["id", "n_shingles", "hi", "lo", "bands"],
                 )
 
     return run
@@ -104,10 +104,8 @@ def _set_batches(size: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, offsets = shingle_sets(part.column("text"), size)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_nodes(hashes, offsets)), part.column("want"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                    ["node", "want", "hashes"],
-                )
+                names = [pa.array(x) for x in _names(hashes, offsets)]
+                yield pa.RecordBatch.from_arrays([*names, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))], ["hi", "lo", "hashes"])
 
     return run
 
@@ -161,50 +159,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets of ``shingle``-word shingles; components are reached by links.
     component_id is the smallest id reachable, kept says the id is its own
     component_id.  Null, empty and wordless texts have no shingles and are
-    linked with nothing.  Equal sets are one node, so copies cost nothing and
-    repeated rows stay repeated.  A row without an id takes part but names no
-    component; where no member has an id, component_id and kept are null.
-    Other columns are not read.
+    linked with nothing.  Equal sets (of equal names, 128 bits) are one node, so
+    copies cost nothing and repeated rows stay repeated.  A row without an id
+    takes part but names no component; where no member has an id, component_id
+    and kept are null.  Ids are whole numbers.  Other columns are not read; the
+    result is a table in the shared folder.
     """
-    out = _judged(docs, id_col, text_col, shingle, percent)
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+    return _judged(docs, id_col, text_col, shingle, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """(id, n_shingles, hi, lo, component_id, kept), written."""
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sketched = written(source.mapInArrow(_sketch_batches(shingle), "id bigint, n_shingles bigint, node bigint, bands array<bigint>"), "sketches")
-    links = _links(source, sketched, shingle, percent)
-    comps = graph.components(links)
-    nodes = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    grouped = nodes.join(comps, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    named = grouped.join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
-    out = sketched.select("id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select("id", "n_shingles", "node", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    with temporaries() as keep:
+        made = source.mapInArrow(_sketch_batches(shingle), "id bigint, n_shingles bigint, hi bigint, lo bigint, bands array<bigint>")
+        sketched = written(made.withColumn("uid", F.monotonically_increasing_id()), "sketches")
+        # each distinct set is a node, named by one of its rows
+        named = sketched.where("hi is not null").groupBy("hi", "lo")
+        nodes = written(named.agg(F.min("uid").alias("node"), F.min("id").alias("least"), F.count("*").alias("held")), "nodes")
+        comps = graph.components(_links(source, sketched, nodes, shingle, percent))
+        linked = written(nodes.select("node", "least").join(comps, "node"), "linked")
+        least = written(linked.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("held")), "least")
+        of_node = spread_join(linked.select("node", "component"), least.drop("held"), ["component"], "node", linked.count(), least.select("component", "held"))
+        told = nodes.join(of_node, "node", "left").select("hi", "lo", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+        rows = sketched.drop("bands")
+        out = spread_join(rows, told, ["hi", "lo"], "uid", rows.count(), nodes.select("hi", "lo", "held"), how="left")
+        component = F.when(F.col("hi").isNull(), F.col("id")).otherwise(F.col("component_id"))
+        return keep(written(out.select("id", "n_shingles", "hi", "lo", component.alias("component_id"), (F.col("id") == component).alias("kept")), "judged"))
+
+
+_NAME = T.StructType([T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType())])
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near copies (the
-    smallest id), with all columns.  Rows without an id stay; rows that repeat
-    an id and its shingles stay once."""
+    smallest id), with all columns.  Rows without an id stay, and so do null,
+    empty and wordless texts; rows that repeat an id and its shingles stay
+    once; an empty table stays empty.  Columns may have any names."""
     judged = _judged(docs, id_col, text_col, shingle, percent)
-    gone = written(judged.where(~F.col("kept")).select("id", "node").distinct(), "gone")
+    gone = judged.where(~F.col("kept")).select("id", F.struct("hi", "lo").alias("name")).distinct()
     if not docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").take(1):
         return docs.join(sized(gone.select(F.col("id").alias(id_col)), BROADCAST_IDS), id_col, "left_anti").select(docs.columns)
     # ids repeat: a row is known by its id and its shingle set
-    named, node = passing(docs, text_col, T.LongType(), lambda texts: _nodes_of(texts, shingle))
-    gone = gone.select(F.col("id").alias(id_col), F.col("node").alias(node))
-    left = named.join(sized(gone, BROADCAST_IDS), [id_col, node], "left_anti")
-    once = left.where(F.col(id_col).isNotNull() & F.col(node).isNotNull()).dropDuplicates([id_col, node])
-    return once.union(left.where(F.col(id_col).isNull() | F.col(node).isNull())).select(docs.columns)
+    named, name = passing(docs, text_col, _NAME, lambda texts: _names_of(texts, shingle))
+    gone = gone.select(F.col("id").alias(id_col), F.col("name").alias(name))
+    left = named.join(sized(gone, BROADCAST_IDS), [id_col, name], "left_anti")
+    once = left.where(F.col(id_col).isNotNull() & F.col(name).isNotNull()).dropDuplicates([id_col, name])
+    return once.union(left.where(F.col(id_col).isNull() | F.col(name).isNull())).select(docs.columns)
 
 
-def _nodes_of(texts: pa.Array, shingle: int) -> pa.Array:
+def _names_of(texts: pa.Array, shingle: int) -> pa.Array:
     hashes, offsets = shingle_sets(texts, shingle)
-    return pa.array(_nodes(hashes, offsets), mask=np.diff(offsets) == 0)
+    return pa.StructArray.from_arrays([pa.array(x) for x in _names(hashes, offsets)], ["hi", "lo"], mask=pa.array(np.diff(offsets) == 0))
 
 
-def _links(source: DataFrame, sketched: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _links(source: DataFrame, sketched: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Confirmed links (u, v) that give the components of all links.
 
     A node's private shingles are those that no other candidate holds; the rest
@@ -212,12 +221,16 @@ def _links(source: DataFrame, sketched: DataFrame, shingle: int, percent: int) -
     no more than the cells' lesser counts add up to, exactly, so nodes and pairs
     beyond that bound are never compared; among many copies of one text it lets
     through little more than the links.  The centre of a bucket is the node with
-    the least private share, the one that the others were copied from."""
-    rows = sketched.where("node is not null").select("node", F.explode("bands").alias("band"))
+    the least private share, the one that the others were copied from.  Buckets
+    of very many members are dealt out over several tasks, and so are the pairs
+    of a centre."""
+    rows = sketched.where("hi is not null").select("uid", "lo", F.explode("bands").alias("band"))
     # a bucket matters if it holds two different sets
-    busy = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    members = written(rows.join(busy, "band").select("band", "node").distinct(), "members")
-    sets = _full_sets(source, sketched, members, shingle)
+    busy = written(rows.groupBy("band").agg(F.min("lo").alias("a"), F.max("lo").alias("z"), F.count("*").alias("held")).where("a < z").select("band", "held"), "busy")
+    members = spread_join(rows.select("uid", "band"), busy.select("band"), ["band"], "uid", sketched.count(), busy).select("band", F.col("uid").alias("node"))
+    members = written(members.join(nodes.select("node"), "node", "left_semi").select("band", "node"), "members")
+    drop(busy)
+    sets = _full_sets(source, nodes, members, shingle)
     held = sets.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
     alone = held.where("holders = 1").select("node", "hash").repartition(partitions(source.sparkSession), "node").sortWithinPartitions("node")
     private = alone.mapInArrow(_run_batches, "node bigint, private array<bigint>")
@@ -230,60 +243,71 @@ def _links(source: DataFrame, sketched: DataFrame, shingle: int, percent: int) -
     tested: list[DataFrame] = []
     slots = 1
     while True:
-        parts = placed.groupBy("band", "comp").agg(F.count("*").alias("held"))
-        split = parts.groupBy("band").agg(F.max(F.struct("held", "comp")).alias("top"), F.sum("held").alias("total"), F.count("*").alias("comps")).where("comps > 1")
-        open_ = placed.join(split.select("band", F.col("top.comp").alias("top"), (F.col("total") - F.col("top.held") <= slots).alias("few")), "band")
+        parts = placed.groupBy("band", "comp").agg(F.count("*").alias("n"))
+        split = parts.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("held"), F.count("*").alias("comps")).where("comps > 1")
+        split = written(split.select("band", F.col("top.comp").alias("top"), (F.col("held") - F.col("top.n") <= slots).alias("few"), "held"), "split")
+        if not split.take(1):
+            break
+        size, sizes = placed.count(), split.select("band", "held")
+        opened = written(spread_join(placed, split.drop("held"), ["band"], "node", size, sizes), "opened")
+        drop(placed)
         # the first round has one centre for each bucket; later ones all members outside a bucket's largest component, if
         # these are few, which settles the bucket, and else several centres
         last_of_band = F.col("few") & F.lit(slots > 1)
         slot = F.when(last_of_band, F.col("node")).otherwise(F.pmod(F.xxhash64("node", "band"), F.lit(slots)))
         central = F.struct((F.col("u") * 1000 / F.col("n")).cast("int").alias("share"), F.xxhash64("node", "band").alias("o"), "node", "n", "over", *_BITS, "comp")
-        chosen = open_.where(~last_of_band | (F.col("comp") != F.col("top"))).groupBy("band", slot.alias("slot")).agg(F.min(central).alias("p"))
+        chosen = opened.where(~last_of_band | (F.col("comp") != F.col("top"))).groupBy("band", slot.alias("slot")).agg(F.min(central).alias("p"))
         pivots = written(chosen.select("band", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "n", "over", *_BITS, "comp")]), "pivots")
-        if not pivots.take(1):
-            break
         most = sum((F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}"))) for b in _BITS), F.least("over", "p_over"))
         possible = (F.col("comp") != F.col("p_comp")) & (most * 100 >= (F.col("n") + F.col("p_n") - most) * percent)
-        near = open_.join(pivots, "band").where(possible)
+        near = spread_join(opened, pivots, ["band"], "node", size, sizes).where(possible)
         pairs = near.groupBy(F.least("node", "p_node").alias("u"), F.greatest("node", "p_node").alias("v")).agg(F.min("comp").alias("c1"), F.max("p_comp").alias("c2"))
-        for old in tested:
-            pairs = pairs.join(old.select("u", "v"), ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested.append(pairs)
-        found = written(_confirmed(pairs, sets, percent), "links")
-        links.append(found)
-        left = open_.where(~last_of_band).drop("top", "few").join(pivots.select("band", F.col("p_node").alias("node")), ["band", "node"], "left_anti")
-        if found.take(1):
-            merged = graph.components(found.select(F.col("c1").alias("u"), F.col("c2").alias("v"))).select(F.col("node").alias("comp"), "component")
-            left = left.join(merged, "comp", "left").withColumn("comp", F.coalesce("component", "comp"))
-        last, placed = placed, written(left.select("band", "node", *known, "comp"), "placed")
-        drop(last)
+        if tested:
+            pairs = pairs.join(_together(tested).select("u", "v"), ["u", "v"], "left_anti")
+        tested.append(written(pairs, "pairs"))
+        links.append(written(_confirmed(tested[-1], sets, percent), "links"))
+        rest = opened.where(~last_of_band).drop("top", "few").join(pivots.select("band", F.col("p_node").alias("node")), ["band", "node"], "left_anti")
+        if links[-1].take(1):
+            merged = graph.components(links[-1].select(F.col("c1").alias("u"), F.col("c2").alias("v"))).select(F.col("node").alias("comp"), "component")
+            rest = spread_join(rest, merged, ["comp"], "node", size, how="left").withColumn("comp", F.coalesce("component", "comp"))
+        placed = written(rest.select("band", "node", *known, "comp"), "placed")
+        drop(opened, split, pivots)
         slots *= SLOTS if slots == 1 else 8
     if not links:
-        return pivots.select(F.col("p_node").alias("u"), F.col("p_node").alias("v"))
-    every = links[0]
-    for more in links[1:]:
+        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    return _together(links).select("u", "v")
+
+
+def _together(tables: list[DataFrame]) -> DataFrame:
+    every = tables[0]
+    for more in tables[1:]:
         every = every.union(more)
-    return every.select("u", "v")
+    return every
 
 
-def _full_sets(source: DataFrame, sketched: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+def _full_sets(source: DataFrame, nodes: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     """The whole shingle set of each candidate node, from one of its texts."""
-    nodes = members.select("node").distinct()
-    wanted = sketched.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
-    wanted = written(wanted.select("id", F.col("node").alias("want")), "wanted")
-    nameless = wanted.where("id is null").select(F.lit(None).cast("bigint").alias("id"), "want")
-    texts = source.join(sized(wanted.where("id is not null"), BROADCAST_IDS), "id").select("text", "want")
-    if nameless.take(1):  # nodes of rows without ids: every such row is a possible text
-        texts = texts.union(source.where("id is null").select("text", F.lit(None).cast("bigint").alias("want")))
-    found = texts.mapInArrow(_set_batches(shingle), "node bigint, want bigint, hashes array<bigint>").where("want is null or node = want")
-    return written(found.dropDuplicates(["node"]).select("node", "hashes"), "sets")
+    wanted = written(nodes.join(members.select("node").distinct(), "node").select("node", "hi", "lo", F.col("least").alias("id")), "wanted")
+    ids = wanted.where("id is not null").select("id").distinct()
+    texts = source.join(sized(ids, BROADCAST_IDS), "id", "left_semi").select("text")
+    if wanted.where("id is null").take(1):  # nodes of rows without ids: every such row is a possible text
+        texts = texts.union(source.where("id is null").select("text"))
+    found = texts.mapInArrow(_set_batches(shingle), "hi bigint, lo bigint, hashes array<bigint>")
+    # rows that repeat an id may have other texts: only the named sets stay
+    out = written(found.join(sized(wanted.select("node", "hi", "lo"), BROADCAST_IDS), ["hi", "lo"]).dropDuplicates(["node"]).select("node", "hashes"), "sets")
+    drop(wanted)
+    return out
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are alike enough.  A pair carries one set to
+    the other, which is sent once to each part of a centre's pairs."""
+    rows = pairs.count()
     a = sets.select(F.col("node").alias("u"), F.col("hashes").alias("hu"))
     b = sets.select(F.col("node").alias("v"), F.col("hashes").alias("hv"))
     both = F.size(F.array_intersect("hu", "hv")).cast("bigint")
     total = (F.size("hu") + F.size("hv")).cast("bigint")
     sizes = F.least(F.size("hu"), F.size("hv")).cast("bigint") * 100 >= F.greatest(F.size("hu"), F.size("hv")).cast("bigint") * percent
-    return pairs.join(a, "u").join(b, "v").where(sizes).where(both * 100 >= (total - both) * percent).select("u", "v", "c1", "c2")
+    of_v = pairs.groupBy("v").agg(F.count("*").alias("held"))
+    met = spread_join(spread_join(pairs, a, ["u"], "v", rows), b, ["v"], "u", rows, of_v)
+    return met.where(sizes).where(both * 100 >= (total - both) * percent).select("u", "v", "c1", "c2")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from larkspur.llm import minhash
+from larkspur.llm import common, minhash
 from larkspur.llm.text import shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -84,6 +84,26 @@ def test_documents(spark, documents):
     assert judged(spark, rows, 3, 85) == plain(rows, 3, 85)
 
 
+def test_hot_buckets_and_hubs_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_SHARE", 10**9)
+    rows = corpus()[90:]
+    assert judged(spark, rows, 3, 85) == plain(rows, 3, 85)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(6)
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(300_000))
+    rows = [(1, long), (2, long + " one more"), (3, "short text of words"), (4, long)]
+    assert judged(spark, rows, 3, 85) == plain(rows, 3, 85)
+
+
+def test_intermediate_tables_are_dropped(spark, documents):
+    before = len(common._left)
+    minhash.near_duplicates(documents).count()
+    assert len(common._left) == before + 1  # the result
+
+
 def test_empty_table(spark):
     assert judged(spark, [], 3, 85) == []
     assert judged(spark, [(1, None), (None, "")], 3, 85) == plain([(1, None), (None, "")], 3, 85)
