@@ -9,6 +9,7 @@ import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,8 +95,13 @@ def drop(*tables: DataFrame) -> None:
     for df in tables:
         path = getattr(df, "_larkspur_path", None)
         if path and _left.pop(path, None) is not None:
-            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            drop_path(df.sparkSession.sparkContext, path)
+
+
+def drop_path(sc: SparkContext, path: str | None) -> None:
+    if path:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _drop_left() -> None:
