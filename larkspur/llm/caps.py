@@ -31,6 +31,8 @@ FILTERS = 24
 AVERAGE = 512
 #: Classes of a block, and rows of a matrix product.
 BLOCK, SLICE = 4096, 512
+#: Crowded filters up to this number are broadcast; beyond, the join shuffles.
+CROWDED = 500_000
 SEED = 20_240_607
 
 
@@ -274,10 +276,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             k *= 2
         each = classes.repartition(partitions(spark)).select("node", "size", "raw").mapInArrow(_decode_batches(k, expected, kind), "node bigint, size bigint, raw binary, filters array<bigint>")
         each = written(each, "decoded").select("node", "size", "raw", F.explode("filters").alias("filter"))
-        counts = each.groupBy("filter").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
-        counts = written(counts, "filters")
-        total = counts.agg(F.sum("held")).first()[0] or 0
-        cut = spread_join(each, counts.select("filter", "blocks"), ["filter"], "node", total, counts.select("filter", "held"))
+        counts = each.groupBy("filter").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("held"))
+        # a filter of several blocks has more than BLOCK classes: few have
+        crowded = written(counts.where("blocks > 1").select("filter", "blocks", "held"), "filters")
+        if crowded.count() <= CROWDED:
+            cut = each.join(F.broadcast(crowded.drop("held")), "filter", "left")
+        else:
+            cut = spread_join(each, crowded.drop("held"), ["filter"], "node", each.count(), crowded.select("filter", "held"), how="left")
+        cut = cut.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         paired = cut.withColumn("o", other).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o")).select(*COLUMNS)
