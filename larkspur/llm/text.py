@@ -77,14 +77,20 @@ def translated(texts: pa.Array, table: bytes) -> pa.LargeBinaryArray:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(flat), [None, pa.py_buffer(np.ascontiguousarray(offsets - offsets[0])), pa.py_buffer(raw)])
 
 
-def words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+def coded_words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(codes of all words in order, the distinct words, words of each text)."""
     parts = pc.split_pattern(translated(texts, table), b" ")
     flat, ends = parts.flatten(), parts.offsets.to_numpy()
     real = pc.greater(pc.binary_length(flat), 0)
     before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
     coded = flat.filter(real).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist(), np.diff(before[ends - ends[0]])
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, np.diff(before[ends - ends[0]])
+
+
+def words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """``coded_words`` with the distinct words as a list."""
+    codes, distinct, counts = coded_words(texts, table)
+    return codes, distinct.to_pylist(), counts
 
 
 def word_hashes(distinct: list[bytes]) -> np.ndarray:

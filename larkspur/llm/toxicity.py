@@ -18,6 +18,7 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from . import learn
 from .common import drop, passing, written
-from .text import SPACED, mix, shingle_sets, slices, words
+from .text import SPACED, coded_words, gathered, mix, shingle_sets, slices
 
 #: What a character of a disguised word may stand for, besides itself.
 LEET = {
@@ -35,8 +36,8 @@ LEET = {
 JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
 #: Words of the lexicon occur so often at least, and make such a share of the corpus's words: one over it bounds their number.
 COMMON, SHARE = 5, 1e-5
-#: Distinct words that a task counts before it passes its counts on.
-HELD_WORDS = 200_000
+#: Bytes of texts whose words are counted at once.
+COUNTED_BYTES = 16_000_000
 PREFIXES = (4, 5, 6, 7, 8)
 REMEMBERED = 100_000
 #: Near-equal texts count once: so many least hashes of three-word shingles, looked up in bands, alike in half at least.
@@ -237,33 +238,53 @@ class Restorer:
         return " ".join(self.parts(raw)[0])
 
     def block(self, texts: pa.Array):
-        """(codes, restored distinct words, row of each code, rows).  The words
-        that three or more lone letters in a row hold are more words."""
-        raw_codes, distinct, counts = words(texts, SPACED)
-        decoded = [w.decode() for w in distinct]
+        """(codes, restored words, row of each code, rows).  The words that
+        three or more lone letters in a row hold are more words."""
+        raw_codes, distinct, counts = coded_words(texts, SPACED)
+        distinct = distinct.cast(pa.binary()).cast(pa.string())
+        plain, odd = _by_kind(distinct)
         place: dict[str, int] = {}
-        held = [[place.setdefault(w, len(place)) for some in self.parts(raw) for w in some] for raw in decoded]
+        held = [[place.setdefault(w, len(plain) + len(place)) for some in self.parts(raw) for w in some] for raw in distinct.take(pa.array(odd)).to_pylist()]
         raw_row = np.repeat(np.arange(len(counts)), counts)
-        size = np.fromiter(map(len, held), np.int64, len(held))
-        flat = np.fromiter(chain.from_iterable(held), np.int64, int(size.sum()))
-        start, width = np.cumsum(size) - size, size[raw_codes]
+        # a plain word is itself, another is any number of words
+        size = np.ones(len(distinct), np.int64)
+        size[odd] = np.fromiter(map(len, held), np.int64, len(held))
+        start = np.cumsum(size) - size
+        flat = np.empty(int(size.sum()), np.int64)
+        flat[start[plain]] = np.arange(len(plain))
+        flat[np.repeat(start[odd] - (np.cumsum(size[odd]) - size[odd]), size[odd]) + np.arange(size[odd].sum())] = np.fromiter(chain.from_iterable(held), np.int64)
+        width = size[raw_codes]
         codes = flat[np.repeat(start[raw_codes] - (np.cumsum(width) - width), width) + np.arange(width.sum())]
         row = np.repeat(raw_row, width)
-        lone = np.array([len(w) == 1 and (w.isalpha() or w in LEET) for w in decoded], bool)
+        short = np.flatnonzero(pc.utf8_length(distinct).to_numpy(zero_copy_only=False) == 1)
+        lone = {k: w for k, w in zip(short.tolist(), distinct.take(pa.array(short)).to_pylist()) if w.isalpha() or w in LEET}
         extra_codes, extra_rows = [], []
-        if lone.any():
-            at = lone[raw_codes]
+        if lone:
+            is_lone = np.zeros(len(distinct), bool)
+            is_lone[list(lone)] = True
+            at = is_lone[raw_codes]
             run = np.cumsum(_run_starts(at, raw_row))[at]
             places = np.flatnonzero(at)
             for k in np.flatnonzero(np.bincount(run) >= 3).tolist():
                 some = places[np.searchsorted(run, k) : np.searchsorted(run, k, side="right")]
-                for w in decode("".join(decoded[c] for c in raw_codes[some].tolist()), self.model, spaced=True):
+                for w in decode("".join(lone[c] for c in raw_codes[some].tolist()), self.model, spaced=True):
                     if len(w) > 1:  # a letter alone is a word already
-                        extra_codes.append(place.setdefault(w, len(place)))
+                        extra_codes.append(place.setdefault(w, len(plain) + len(place)))
                         extra_rows.append(raw_row[some[0]])
         codes = np.concatenate([codes, np.array(extra_codes, np.int64)])
         row = np.concatenate([row, np.array(extra_rows, np.int64)])
-        return codes, list(place), row, len(counts)
+        return codes, pa.concat_arrays([distinct.take(pa.array(plain)), pa.array(list(place), pa.string())]), row, len(counts)
+
+
+#: Words that need no look: lower-case letters of the alphabet, none three times in a row.
+_ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_ODD = f"[^{_ALPHABET}]|" + "|".join(c * 3 for c in _ALPHABET)
+
+
+def _by_kind(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the plain words, of the others)."""
+    odd = pc.match_substring_regex(distinct, _ODD).to_numpy(zero_copy_only=False).astype(bool)
+    return np.flatnonzero(~odd), np.flatnonzero(odd)
 
 
 def _run_starts(at: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -276,16 +297,23 @@ class ToxicModel:
     def __init__(self, letters: Letters, features: list[str], weights: np.ndarray, bias: float):
         self.letters, self.features, self.weights, self.bias = letters, features, weights, bias
         self.place = {f: i for i, f in enumerate(features)}
+        self.begins = pa.array(sorted({f[1 : 1 + PREFIXES[0]] for f in features}), pa.string())
         self.restorer = Restorer(letters)
 
     def counts(self, texts: pa.Array):
         """(row, feature, count) triples, words of each row."""
         codes, restored, row, n = self.restorer.block(texts)
-        held = [[self.place[f] for f in features_of(w) if f in self.place] if w else [] for w in restored]
-        size = np.fromiter(map(len, held), np.int64, len(held))
-        real = np.array([bool(w) for w in restored], bool)
-        total = np.bincount(row[real[codes]], minlength=n) if len(codes) else np.zeros(n, np.int64)
-        hit = size[codes] > 0
+        total = np.bincount(row, minlength=n)
+        # few words begin as a feature does
+        near = np.flatnonzero(pc.is_in(pc.utf8_slice_codeunits(restored, 0, PREFIXES[0]), self.begins).to_numpy(zero_copy_only=False))
+        held: dict[int, list[int]] = {}
+        for k, w in zip(near.tolist(), restored.take(pa.array(near)).to_pylist()):
+            found = [self.place[f] for f in features_of(w) if f in self.place]
+            if found:
+                held[k] = found
+        told = np.zeros(len(restored), bool)
+        told[list(held)] = True
+        hit = told[codes]
         width = max(len(self.features), 1)
         keys = np.fromiter((r * width + f for c, r in zip(codes[hit].tolist(), row[hit].tolist()) for f in held[c]), np.int64)
         keys, count = np.unique(keys, return_counts=True)
@@ -299,30 +327,30 @@ class ToxicModel:
 
 
 def _word_batches(batches):
-    """(word, n) of the plain words of texts, as cores, without the letters
-    that stand alone three or more in a row: these are words written apart."""
-    total: Counter = Counter()
-
-    def told():
-        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
-
-    for batch in batches:
-        for part in slices(batch, "text"):
-            codes, distinct, counts = words(part.column("text"), SPACED)
+    """(raw, n) of the words of texts between spaces, without the letters that
+    stand alone three or more in a row: these are words written apart."""
+    for batch in gathered(batches, "text", COUNTED_BYTES):
+        for part in slices(batch, "text", COUNTED_BYTES):
+            codes, distinct, counts = coded_words(part.column("text"), SPACED)
             often = np.bincount(codes, minlength=len(distinct))
-            decoded = [w.decode() for w in distinct]
-            at = np.array([len(w) == 1 for w in decoded], bool)[codes]
+            at = (pc.binary_length(distinct).to_numpy(zero_copy_only=False) == 1)[codes]
             run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
             apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
-            for w, n in zip(decoded, (often - apart).tolist()):
-                w = shortened(core(w))
-                if n and w.isalpha() and not disguised(w):
-                    total[w] += n
-        if len(total) > HELD_WORDS:
-            yield told()
-            total.clear()
-    if total:
-        yield told()
+            yield pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(often - apart)], ["raw", "n"])
+
+
+def _core_batches(batches):
+    """(word, n) of the plain words among raw ones, and of others' cores."""
+    for batch in batches:
+        raws, counts = batch.column("raw").cast(pa.string()), batch.column("n").to_numpy()
+        plain, odd = _by_kind(raws)
+        found, of = [], []
+        for k, raw in zip(odd.tolist(), raws.take(pa.array(odd)).to_pylist()):
+            w = shortened(core(raw))
+            if w.isalpha() and not disguised(w):
+                found.append(w)
+                of.append(k)
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([raws.take(pa.array(plain)), pa.array(found, pa.string())]), pa.array(counts[np.concatenate([plain, np.array(of, np.int64)])])], ["word", "n"])
 
 
 def _trigram_batches(batches):
@@ -339,8 +367,9 @@ def letters_of(docs: DataFrame, text_col: str = "text") -> Letters:
     """The model of words of all documents.  Words are counted on the cluster;
     to the driver come trigrams (bounded by the alphabet) and the words whose
     share of all is ``SHARE`` at least (at most one over it)."""
-    source = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_batches, "word string, n bigint")
-    counted = written(source.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    source = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_batches, "raw binary, n bigint")
+    raws = source.groupBy("raw").agg(F.sum("n").alias("n")).where("n > 0")
+    counted = written(raws.mapInArrow(_core_batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
     every = counted.agg(F.sum("n")).first()[0] or 0
     grams = counted.mapInArrow(_trigram_batches, "gram string, weight double").groupBy("gram").agg(F.round(F.sum("weight"), 6).alias("weight")).collect()
     lexicon = counted.where(F.col("n") >= max(COMMON, math.ceil(SHARE * every))).collect()
@@ -399,7 +428,7 @@ def _feature_batches(shared, shared_shares):
             for part in slices(batch, "text", 2_000_000):
                 codes, restored, row, n = restorer.block(part.column("text"))
                 place: dict[str, int] = {}
-                own = [[place.setdefault(f, len(place)) for f in features_of(w)] if w else [] for w in restored]
+                own = [[place.setdefault(f, len(place)) for f in features_of(w)] for w in restored.to_pylist()]
                 size = np.fromiter(map(len, own), np.int64, len(own))
                 flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
                 start = np.cumsum(size) - size
