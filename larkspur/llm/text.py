@@ -40,6 +40,18 @@ def lean() -> None:
     _lean[0](0)
 
 
+def roomy() -> None:
+    """Let arrays of some megabytes reuse memory until the next ``lean``, for
+    work that makes very many of them: fresh pages cost as much as the work."""
+    lean()
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD, the most it may be
+        libc.mallopt(-1, 512 << 20)  # M_TRIM_THRESHOLD
+    except (AttributeError, OSError):  # another C library
+        return
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
     """The batch in runs of rows whose texts have about ``most`` bytes at most
     (a longer text makes a run of its own)."""
