@@ -26,21 +26,30 @@ def _star(e: DataFrame, rows: int, small: bool) -> DataFrame:
     return out
 
 
+def _standing(e: DataFrame) -> tuple[int, int]:
+    """(edges, nodes that are not yet at their place): a forest of stars has no
+    node with two lesser neighbours, and no node that is both end and centre."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+    centres = e.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    nodes = ends.union(centres).groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    row = nodes.agg(F.sum("below"), F.count_if((F.col("below") > 1) | ((F.col("below") == 1) & (F.col("above") == 1)))).first()
+    return row[0] or 0, row[1]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); the component is
     its smallest node.  Self links and repeated links do no harm; no edges, no
     rows.  Alternating stars: about log n rounds, each linear in the edges,
-    each kept in the shared folder; nothing comes to the driver but a checksum.
+    each kept in the shared folder, until only stars are left; nothing comes to
+    the driver but two counts a round.
     """
     with temporaries() as keep:
         now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        seen = None
         while True:
-            sum_of = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first()
-            if sum_of == seen or not sum_of[0]:
+            rows, unsettled = _standing(now)
+            if not unsettled:
                 break
-            seen, last = sum_of, now
-            large = _star(now, sum_of[0], small=False)
-            now = _star(large, sum_of[0], small=True)
+            large = _star(now, rows, small=False)
+            last, now = now, _star(large, rows, small=True)
             drop(last, large)
         return keep(written(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components"))
