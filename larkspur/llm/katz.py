@@ -15,8 +15,8 @@ same order:
 Then each token's probability is evaluated by the recursion
 P(w|h) = d(c) c(h,w) / c(h) if c(h,w) > 0, else a(h) P(w|h'), where h' is h
 without its first word, down to P(w), which backs off to the mass of unseen
-words.  Histories of two and more words are modelled if they occur ``LEAST``
-times; others have the probabilities of their shorter history.
+words.  Every history that occurs in training is modelled; one that does not
+has the probabilities of its shorter history, which is what the recursion says.
 
 Everything that crosses the network is counted once per block, so frequent
 n-grams cost a row for each block and not for each occurrence.  Histories that
@@ -52,8 +52,8 @@ CUTOFF = 5
 #: The end of a text, as a hash that stands beside the words' hashes.
 END = np.uint64(0x6A09E667F3BCC908)
 BLOCK_BYTES = 9_000_000
-#: The model's order in ``score`` and ``fit``, and how often a history of two and more words occurs at least.
-ORDER, LEAST = 3, 2
+#: The model's order in ``score`` and ``fit``, and how often a modelled history of two and more words occurs at least: all that occur.
+ORDER, LEAST = 3, 1
 #: Bytes of text for each partition: a 4000th of all, within these bounds.
 PART_BYTES = (32_000_000, 256_000_000)
 #: Parts of the n-gram tables in each partition; one is in memory at a time.

@@ -99,6 +99,16 @@ def test_hot_history_is_spread(spark):
         assert r.score == pytest.approx(want[r.doc_id][4], rel=1e-9)
 
 
+def test_histories_that_occur_once_are_modelled(spark):
+    """By hand: counts of one are halved here (none is two), those of seven stay whole."""
+    rows = [(1, "a b c", False), *[(10 + i, "x b d", False) for i in range(7)], (2, "a b c", True), (3, "a b d", True)]
+    got = {r.doc_id: r.score for r in scored(spark, rows)}
+    first_two = 0.5 / 8 * 0.5  # P(a|<s>) P(b|<s> a)
+    assert got[1] == got[2] == pytest.approx(math.log10(first_two * 0.5 * 0.5))  # P(c|a b) P(end|b c)
+    backed_off = 0.5 / (1 - 0.5 / 8) * 7 / 8  # the weight of "a b", P(d|b)
+    assert got[3] == pytest.approx(math.log10(first_two * backed_off * 7 / 8))  # P(end|b d)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "a b", True)], [(None, "a a", False), (1, "a", None), (1, "a", None)]])
 def test_edges(spark, rows):
     got = scored(spark, rows)
