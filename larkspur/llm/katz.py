@@ -10,7 +10,9 @@ same order:
 * n-grams, partitioned by history: a block sends its distinct n-grams with
   their training counts and gets each one's corpus count and the history's
   denominator and back-off weight.  A history's count is the corpus count of
-  the shorter n-gram that the order before told.
+  the shorter n-gram that the order before told.  That order also tells which
+  n-grams no other block holds: what follows these is all in the block, which
+  counts it by itself and sends only its counts of counts.
 
 Then each token's probability is evaluated by the recursion
 P(w|h) = d(c) c(h,w) / c(h) if c(h,w) > 0, else a(h) P(w|h'), where h' is h
@@ -195,7 +197,8 @@ class _Asked:
     history: ``at`` the tokens that end one, ``number`` which one each ends,
     ``end`` a token that ends it, ``count`` its history's count, ``lead`` where
     histories begin, ``names`` these histories' word ids, ``bounds`` where
-    buckets begin among n-grams and ``leads`` among histories."""
+    buckets begin among n-grams and ``leads`` among histories.  After the last
+    bucket come the histories that no other block holds; they are not sent."""
 
 
 def _shifted(x: np.ndarray, first: np.ndarray, value: int) -> np.ndarray:
@@ -208,13 +211,13 @@ def _shifted(x: np.ndarray, first: np.ndarray, value: int) -> np.ndarray:
 
 class _Grams:
     """The n-grams of a block, one order after the other; at each, of every
-    token: the number of its n-gram, its count, its history's denominator, and
-    the log10 probability so far."""
+    token: the number of its n-gram, its count, its history's denominator,
+    whether no other block holds it, and the log10 probability so far."""
 
     def __init__(self, block: _Block, ids: np.ndarray, counts: np.ndarray, model: Unigrams):
         self.block, self.ids, self.model, self.order = block, ids, model, 1
         self.place = np.arange(len(block.codes)) - np.repeat(block.first, block.lengths)
-        self.number, self.count, self.below = block.codes, counts[block.codes], None
+        self.number, self.count, self.below, self.alone, self.d = block.codes, counts[block.codes], None, None, None
         self.logs = np.log10(model.prob(counts))[block.codes]
 
     def _words(self, end: np.ndarray, back: int) -> np.ndarray:
@@ -239,12 +242,14 @@ class _Grams:
         hashed = np.zeros(len(lead), np.uint64)
         for w in names:
             hashed = mix(hashed * _STEP + w.astype(np.uint64))
-        bucket = np.repeat(_spread(hashed, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64), runs)
+        bucket = np.repeat(_spread(hashed, buckets).astype(np.uint16 if buckets + 1 < 1 << 16 else np.int64), runs)
         wide = np.flatnonzero(self.model.salts(count[lead], buckets) > 1)
         if len(wide):
             some = np.repeat(lead[wide], runs[wide]) + np.arange(runs[wide].sum()) - np.repeat(np.cumsum(runs[wide]) - runs[wide], runs[wide])
             salt = _spread(self._words(end[some], 0) + 1, 1 << 30) % self.model.salts(count[some], buckets)
             bucket[some] = (bucket[some] + salt) % buckets
+        if self.alone is not None:
+            bucket = np.where(self.alone[end - 1], buckets, bucket)
         order = np.argsort(bucket, kind="stable")
         where = np.empty(len(order), np.int64)
         where[order] = np.arange(len(order))
@@ -252,7 +257,7 @@ class _Grams:
         out.at, out.number, out.end, out.count = at, where[number], end[order], count[order]
         out.lead = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (run[1:] != run[:-1])])[: len(bucket)])
         out.names = [w[run[out.lead]] for w in names]
-        out.bounds = np.searchsorted(bucket, np.arange(buckets + 1))
+        out.bounds = np.searchsorted(bucket, np.arange(buckets + 2))
         out.leads = np.searchsorted(out.lead, out.bounds)
         return out
 
@@ -261,8 +266,9 @@ class _Grams:
 
     def answered(self, asked: _Asked, answers: dict[int, bytes], d: np.ndarray, last: bool = False) -> None:
         got, below, weight = (np.zeros(len(asked.end), kind) for kind in (np.int64, np.float64, np.float64))
-        for b in np.flatnonzero(np.diff(asked.bounds)).tolist():
-            total, extra, weights = _unpack(answers[b])
+        alone = np.zeros(len(asked.end), bool)
+        for b in np.flatnonzero(np.diff(asked.bounds[:-1])).tolist():
+            total, extra, weights, bits = _unpack(answers[b])
             s, lead = slice(asked.bounds[b], asked.bounds[b + 1]), asked.lead[asked.leads[b] : asked.leads[b + 1]]
             runs = np.diff(np.concatenate([lead, [s.stop]]))
             got[s] = total
@@ -271,17 +277,27 @@ class _Grams:
             of_history = np.ones(len(lead))
             of_history[backs_off] = weights
             weight[s] = np.repeat(of_history, runs)
+            if bits is not None:
+                alone[s] = np.unpackbits(bits, count=len(total))
+        s, lead = slice(*asked.bounds[-2:]), asked.lead[asked.leads[-2] :]
+        if len(lead):
+            total, end, runs = self.trained(asked)[s], asked.end[s], np.diff(np.concatenate([lead, [s.stop]]))
+            shorter = _discounted(self.count[end], self.d) / np.maximum(self.below[end], 1)
+            under, of_history = _backoff(asked.count[lead], *_totals(total, shorter, lead - s.start), d)
+            got[s], below[s], weight[s], alone[s] = total, np.repeat(under, runs), np.repeat(of_history, runs), total > 0
+        self.d = d
         seen = got > 0
         log = np.log10(np.where(seen, _discounted(got, d) / np.maximum(below, 1), np.maximum(weight, 1e-300)))
         kept = np.where(seen, 0.0, 1.0)
         self.logs[asked.at] = log[asked.number] + kept[asked.number] * self.logs[asked.at]
         self.order += 1
         if not last and self.order == 2:
-            self.number, self.count, self.below = asked.number, got[asked.number], below[asked.number]
+            self.number, self.count, self.below, self.alone = asked.number, got[asked.number], below[asked.number], alone[asked.number]
         elif not last:
             n = len(self.block.codes)
-            self.number, self.count, self.below = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n)
+            self.number, self.count, self.below, self.alone = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
             self.number[asked.at], self.count[asked.at], self.below[asked.at] = asked.number, got[asked.number], below[asked.number]
+            self.alone[asked.at] = alone[asked.number]
 
 
 def _word_requests(buckets: int):
@@ -297,11 +313,15 @@ def _word_requests(buckets: int):
     return run
 
 
-def _by_part(rows):
-    """(bucket, its requests) of a partition, unpacked one bucket at a time."""
+def _by_part(rows, histograms: list | None = None):
+    """(bucket, its requests) of a partition, unpacked one bucket at a time.
+    The counts of counts that blocks made by themselves go to ``histograms``."""
     per = defaultdict(list)
     for b, (block, blob) in rows:
-        per[b].append((block, blob))
+        if isinstance(blob, bytes):
+            per[b].append((block, blob))
+        elif histograms is not None:
+            histograms.append(blob)
     while per:
         b, packed = per.popitem()
         yield b, [(block, *_unpack(blob)) for block, blob in packed]
@@ -366,14 +386,18 @@ def _told(own: _Block, answers: dict, model: Unigrams, buckets: int, ds: list, l
 def _gram_requests(model: Unigrams, buckets: int, ds: list):
     """What blocks ask of the order after ``ds``: by bucket, histories with
     their counts, denominators and runs, then words, counts of the shorter
-    n-grams and training counts."""
+    n-grams and training counts.  One bucket also gets the counts of counts, as
+    a list, of what the block counts by itself."""
 
     def run(rows):
         for block, own, answers in _grouped(rows):
             grams, _ = _told(own, answers, model, buckets, ds)
             x = grams.asked(buckets)
             trained, last, low = grams.trained(x), grams.ids[own.codes[x.end]], grams.count[x.end]
-            for b in np.flatnonzero(np.diff(x.bounds)).tolist():
+            alone = trained[x.bounds[-2] :]
+            if len(alone):
+                yield block % buckets, (block, _histogram(alone[alone > 0]).tolist())
+            for b in np.flatnonzero(np.diff(x.bounds[:-1])).tolist():
                 s, lead = slice(x.bounds[b], x.bounds[b + 1]), x.lead[x.leads[b] : x.leads[b + 1]]
                 runs = np.diff(np.concatenate([lead, [s.stop]]))
                 history = [_Planes(_small(w[x.leads[b] : x.leads[b + 1]])) for w in x.names]
@@ -383,6 +407,13 @@ def _gram_requests(model: Unigrams, buckets: int, ds: list):
     return run
 
 
+def _totals(total: np.ndarray, shorter: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the histories that begin at ``first``: types of counts up to the
+    cutoff, and mass of their seen words in the shorter order."""
+    types = np.stack([np.add.reduceat((total == r).astype(np.int64), first) for r in range(1, CUTOFF + 1)], axis=1)
+    return types, np.add.reduceat(np.where(total > 0, shorter, 0.0), first)
+
+
 class _Table:
     """One bucket of an order's table, from the requests: ``asked`` the blocks'
     own, ``place`` where each request's n-gram is, ``total`` counts, ``words``
@@ -414,9 +445,7 @@ class _Table:
             shorter = model.prob(low)
         else:
             shorter = _discounted(low, d_low) / np.maximum(np.concatenate([x[3].array() for x in asked]).astype(np.float64)[run_of], 1)
-        seen = self.total > 0
-        self.types = np.stack([np.add.reduceat((self.total == r).astype(np.int64), self.first) for r in range(1, CUTOFF + 1)], axis=1)
-        self.mass = np.add.reduceat(np.where(seen, shorter, 0.0), self.first)
+        self.types, self.mass = _totals(self.total, shorter, self.first)
 
     def names(self, some) -> list[tuple]:
         return list(zip(*(w[self.first[some]].tolist() for w in self.words[:-1])))
@@ -428,16 +457,19 @@ class _Table:
             self.types[i], self.mass[i] = hot.value[name]
 
 
-def _tables(rows, model: Unigrams, d_low):
-    for b, asked in _by_part(rows):
+def _tables(rows, model: Unigrams, d_low, histograms: list | None = None):
+    for b, asked in _by_part(rows, histograms):
         yield b, _Table(asked, model, d_low)
 
 
 def _gram_totals(model: Unigrams, buckets: int, d_low):
     def run(rows):
-        for _, t in _tables(rows, model, d_low):
+        histograms = []
+        for _, t in _tables(rows, model, d_low, histograms):
             some = np.flatnonzero(model.salts(t.count, buckets) > 1)
             yield _histogram(t.total[t.total > 0]).tolist(), list(zip(t.names(some), t.types[some].tolist(), t.mass[some].tolist()))
+        if histograms:
+            yield np.sum(histograms, axis=0).tolist(), []
 
     return run
 
@@ -451,11 +483,15 @@ def _backoff(counts, types, mass, d):
     return below, freed / below / np.maximum(1 - mass, 1e-300)
 
 
-def _gram_answers(order: int, model: Unigrams, buckets: int, d_low, d: np.ndarray, hot):
+def _gram_answers(order: int, model: Unigrams, buckets: int, d_low, d: np.ndarray, hot, tell: bool):
+    """The answers; ``tell`` adds a bit for each n-gram of the training texts
+    that only one block holds."""
+
     def run(rows):
         for b, t in _tables(rows, model, d_low):
             t.share(model, buckets, hot)
             below, weight = _backoff(t.count, t.types, t.mass, d)
+            alone = (np.bincount(t.place, minlength=len(t.total)) == 1) & (t.total > 0)
             extra = (below - t.count).astype(np.uint8)
             done = 0
             for block, _, _, _, runs, *_ in t.asked:
@@ -465,7 +501,7 @@ def _gram_answers(order: int, model: Unigrams, buckets: int, d_low, d: np.ndarra
                 first = np.cumsum(runs.astype(np.int64)) - runs
                 heads, got = t.history[mine[first]], t.total[mine]
                 backs_off = np.add.reduceat((got == 0).astype(np.int64), first) > 0
-                yield block, (order, b, _pack(_small(got), extra[heads], weight[heads[backs_off]]))
+                yield block, (order, b, _pack(_small(got), extra[heads], weight[heads[backs_off]], np.packbits(alone[mine]) if tell else None))
 
     return run
 
@@ -533,7 +569,8 @@ class _Fit:
             self.ds.append(discounts(counts.tolist()))
             self.hot.append(sc.broadcast(shared))
             self.tables.append(asked)
-            self._answer(asked.mapPartitions(_gram_answers(k, model, buckets, low, self.ds[-1], self.hot[-1])))
+            tell = k < order and not keep  # tables that are kept hold all n-grams
+            self._answer(asked.mapPartitions(_gram_answers(k, model, buckets, low, self.ds[-1], self.hot[-1], tell)))
             del asked
 
     def whole(self):

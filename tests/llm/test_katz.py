@@ -133,6 +133,21 @@ def test_many_partitions_and_blocks(spark, documents, monkeypatch):
     assert len(got) == len(rows) and all(r.score == pytest.approx(want[r.doc_id], rel=1e-9) for r in got)
 
 
+def test_histories_of_one_block_are_counted_there(spark, documents):
+    """Less is sent, and the model is the same as when blocks ask for all."""
+    df = documents.select("doc_id", "text", (F.col("doc_id") % 5 == 1).alias("held")).repartition(6, "doc_id")
+    ds, scores, sent = {}, {}, {}
+    for keep in (False, True):
+        f = katz._Fit(df, "doc_id", "text", F.col("held"), 4, keep)
+        ds[keep] = [list(d) for d in f.ds]
+        scores[keep] = {r[0]: r[6] for r in f.whole().mapPartitions(katz._scores(f.model, f.buckets, f.ds)).collect()}
+        sent[keep] = f.tables[-1].map(lambda r: len(r[1][1])).sum()
+        f.close()
+    assert ds[False] == ds[True] and len(scores[False]) == documents.count()
+    assert scores[False] == pytest.approx(scores[True], rel=1e-9)
+    assert sent[False] < sent[True]
+
+
 def test_order_is_checked(spark, documents):
     with pytest.raises(ValueError, match="order"):
         katz.score(documents, order=1)
