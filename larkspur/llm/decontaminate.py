@@ -73,9 +73,6 @@ def _shared_parts(benchmark: DataFrame, *args) -> list:
     return [benchmark.sparkSession.sparkContext.broadcast(part) for part in _benchmark_parts(benchmark, *args)]
 
 
-_made: dict = {}
-
-
 class _Automata:
     """The parts' automata.  One part's is built once for each worker; of
     several, each is built when its turn comes and forgotten with its windows."""
@@ -86,9 +83,9 @@ class _Automata:
     def __iter__(self):
         if len(self.shared) == 1:
             own = self.shared[0]
-            if _made.get("part") is not own:  # the same object in all tasks of a worker
-                _made.update(part=own, found=build(own.value))
-            yield _made["found"]
+            if "_automaton" not in own.__dict__:  # the same object in all tasks of a worker, until it drops the broadcast
+                own._automaton = build(own.value)
+            yield own._automaton
             return
         for part in self.shared:
             found = build(part.value)

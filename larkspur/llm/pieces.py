@@ -219,16 +219,13 @@ def decode_ids(pieces: Pieces, lists: pa.Array) -> pa.Array:
         return pa.array([raw[a:b].decode(errors="replace") for a, b in zip(ends, ends[1:])], pa.large_string())
 
 
-_made: dict = {}
-
-
 def _pieces(shared, kind: str) -> Pieces:
-    """One per worker, so that remembered words serve many batches."""
-    model = shared.value
-    if (kind, hash(model)) not in _made:
-        _made.clear()
-        _made[kind, hash(model)] = Pieces(model, kind)
-    return _made[kind, hash(model)]
+    """One per worker, so that remembered words serve many batches.  It lies
+    beside the broadcast's value and goes with it: a worker outlives the query."""
+    made = shared.__dict__.setdefault("_pieces", {})
+    if kind not in made:
+        made[kind] = Pieces(shared.value, kind)
+    return made[kind]
 
 
 def _map(shared, kind, column, out, work):

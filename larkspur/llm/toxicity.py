@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from . import learn
 from .common import drop, passing, written
-from .text import SPACED, coded_words, gathered, mix, shingle_sets, slices
+from .text import SPACED, coded_words, mix, shingle_sets, slices
 
 #: What a character of a disguised word may stand for, besides itself.
 LEET = {
@@ -36,8 +36,8 @@ LEET = {
 JOINS = frozenset(".-_*'~,:;/\\#%&^=·​")
 #: Words of the lexicon occur so often at least, and make such a share of the corpus's words: one over it bounds their number.
 COMMON, SHARE = 5, 1e-5
-#: Bytes of texts whose words are counted at once.
-COUNTED_BYTES = 16_000_000
+#: Bytes of texts that are cut into words at once, and of those whose words, or features, are counted before the counts go out.
+CUT_BYTES, COUNTED_BYTES, FEATURED_BYTES = 1_000_000, 16_000_000, 2_000_000
 PREFIXES = (4, 5, 6, 7, 8)
 REMEMBERED = 100_000
 #: Near-equal texts count once: so many least hashes of three-word shingles, looked up in bands, alike in half at least.
@@ -326,17 +326,40 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _word_batches(batches):
+def _counted(texts: pa.Array) -> pa.RecordBatch:
     """(raw, n) of the words of texts between spaces, without the letters that
     stand alone three or more in a row: these are words written apart."""
-    for batch in gathered(batches, "text", COUNTED_BYTES):
-        for part in slices(batch, "text", COUNTED_BYTES):
-            codes, distinct, counts = coded_words(part.column("text"), SPACED)
-            often = np.bincount(codes, minlength=len(distinct))
-            at = (pc.binary_length(distinct).to_numpy(zero_copy_only=False) == 1)[codes]
-            run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
-            apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
-            yield pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(often - apart)], ["raw", "n"])
+    codes, distinct, counts = coded_words(texts, SPACED)
+    often = np.bincount(codes, minlength=len(distinct))
+    at = (pc.binary_length(distinct).to_numpy(zero_copy_only=False) == 1)[codes]
+    run = np.cumsum(_run_starts(at, np.repeat(np.arange(len(counts)), counts)))[at]
+    apart = np.bincount(codes[at][(np.bincount(run) >= 3)[run]], minlength=len(distinct))
+    return pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(often - apart)], ["raw", "n"])
+
+
+def _summed(counted: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Batches of a name and counts as one, each name once."""
+    coded = pa.concat_arrays([b.column(0) for b in counted]).dictionary_encode()
+    at, names = coded.indices.to_numpy(), coded.dictionary
+    sums = [np.zeros(len(names), c.type.to_pandas_dtype()) for c in counted[0].columns[1:]]
+    for k, total in enumerate(sums, 1):
+        np.add.at(total, at, np.concatenate([b.column(k).to_numpy() for b in counted]))
+    return pa.RecordBatch.from_arrays([names, *map(pa.array, sums)], counted[0].schema.names)
+
+
+def _word_batches(batches):
+    """``_counted`` of all texts.  Few texts are cut into words at a time, since
+    their words take many times as much as they do; the counts go out together."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "text", CUT_BYTES):
+            held.append(_counted(part.column("text")))
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            if size >= COUNTED_BYTES:
+                yield _summed(held)
+                held, size = [], 0
+    if held:
+        yield _summed(held)
 
 
 def _core_batches(batches):
@@ -421,26 +444,38 @@ def shares(keys: list[int], sketches: np.ndarray) -> dict[int, float]:
     return dict(zip(keys, (1 / size).tolist()))
 
 
+def _featured(part: pa.RecordBatch, restorer: Restorer, share: dict) -> pa.RecordBatch:
+    """(feature, bad, good): each feature's texts of either class, near-equal ones as one."""
+    codes, restored, row, n = restorer.block(part.column("text"))
+    place: dict[str, int] = {}
+    own = [[place.setdefault(f, len(place)) for f in features_of(w)] for w in restored.to_pylist()]
+    size = np.fromiter(map(len, own), np.int64, len(own))
+    flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+    start = np.cumsum(size) - size
+    pairs = np.unique(codes * n + row)  # each word once a text, then each feature once a text
+    word, text = pairs // max(n, 1), pairs % max(n, 1)
+    width = size[word]
+    at = np.repeat(start[word] - (np.cumsum(width) - width), width) + np.arange(width.sum())
+    once = np.unique(flat[at] * n + np.repeat(text, width))
+    y = part.column("y").to_numpy(zero_copy_only=False)
+    weight = np.array([share[k][key] for k, key in zip(y.tolist(), _keys(part.column("text")))], float)
+    bad, good = (np.bincount(once // max(n, 1), (weight * (y == k))[once % max(n, 1)], len(place)) for k in (1, 0))
+    return pa.RecordBatch.from_arrays([pa.array(list(place), pa.string()), pa.array(bad), pa.array(good)], ["feature", "bad", "good"])
+
+
 def _feature_batches(shared, shared_shares):
     def run(batches):
         restorer, share = Restorer(shared.value), shared_shares.value
+        held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text", 2_000_000):
-                codes, restored, row, n = restorer.block(part.column("text"))
-                place: dict[str, int] = {}
-                own = [[place.setdefault(f, len(place)) for f in features_of(w)] for w in restored.to_pylist()]
-                size = np.fromiter(map(len, own), np.int64, len(own))
-                flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
-                start = np.cumsum(size) - size
-                pairs = np.unique(codes * n + row)  # each word once a text, then each feature once a text
-                word, text = pairs // max(n, 1), pairs % max(n, 1)
-                width = size[word]
-                at = np.repeat(start[word] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-                once = np.unique(flat[at] * n + np.repeat(text, width))
-                y = part.column("y").to_numpy(zero_copy_only=False)
-                weight = np.array([share[k][key] for k, key in zip(y.tolist(), _keys(part.column("text")))], float)
-                bad, good = (np.bincount(once // max(n, 1), (weight * (y == k))[once % max(n, 1)], len(place)) for k in (1, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(list(place), pa.string()), pa.array(bad), pa.array(good)], ["feature", "bad", "good"])
+            for part in slices(batch, "text", CUT_BYTES // 2):
+                held.append(_featured(part, restorer, share))
+                size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                if size >= FEATURED_BYTES:
+                    yield _summed(held)
+                    held, size = [], 0
+        if held:
+            yield _summed(held)
 
     return run
 

@@ -1,7 +1,9 @@
 """SentencePiece encoding against the library's own encoder."""
 
+import gc
 import os
 import random
+import weakref
 
 import pyarrow as pa
 import pytest
@@ -73,3 +75,18 @@ def test_frames(spark, documents, library):
     assert len(same) == len(rows) and [r.same for r in same] == ["▁" not in (t or "") for _, t in rows]
     assert pieces.encode(df.limit(0), PIECE_MODEL).count() == 0
     assert pieces.round_trip(documents, PIECE_MODEL).where("not same").count() == 0
+
+
+def test_the_encoder_goes_with_its_broadcast():
+    class Held:  # as a worker holds a broadcast until a task comes that does not use it
+        value = open(PIECE_MODEL, "rb").read()
+
+    shared = Held()
+    texts = pa.RecordBatch.from_arrays([pa.array(["two words"])], ["text"])
+    first, second = (next(pieces._map(shared, "bpe", "text", "ids", pieces.encode_texts)([texts])) for _ in range(2))
+    assert first.equals(second)
+    made = weakref.ref(pieces._pieces(shared, "bpe"))
+    assert made() is pieces._pieces(shared, "bpe")  # one for all tasks
+    del shared
+    gc.collect()
+    assert made() is None

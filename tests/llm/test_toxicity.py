@@ -139,3 +139,33 @@ def test_long_words_are_decoded(small, text):
 def test_shortened_runs_restore_the_same(small):
     for word in ("idiiiiiiiot", "sssstupid", "hellllllo.yoooou", "aaaaaaaan"):
         assert toxicity.decode(word, small.letters) == toxicity.decode(toxicity.shortened(word), small.letters)
+
+
+def test_words_are_cut_from_few_texts_at_a_time(monkeypatch):
+    texts = [f"w{i % 700} the x y z {'long ' * 300}" for i in range(3000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 1000])], ["text"]) for k in range(0, 3000, 1000)]
+    sizes, cut = [], toxicity.coded_words
+    monkeypatch.setattr(toxicity, "coded_words", lambda some, table: sizes.append(sum(map(len, some.to_pylist()))) or cut(some, table))
+    found = list(toxicity._word_batches(batches))
+    assert max(sizes) <= 1_100_000 and sum(sizes) == sum(map(len, texts))
+    assert len(found) == 1  # counted together: each word once
+    counts = dict(zip(found[0].column("raw").to_pylist(), found[0].column("n").to_pylist()))
+    assert len(counts) == found[0].num_rows == 705
+    assert counts[b"the"] == 3000 and counts[b"long"] == 900_000 and counts[b"w5"] == 5 and counts[b"x"] == 0
+
+
+def test_features_are_counted_once_a_text(monkeypatch):
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    texts = ["bright bright house", "house", "idiot house"] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([0, 1, 1] * 2)], ["text", "y"])
+    keys = toxicity._keys(pa.array(texts))
+    shared, shares = Held(toxicity.Letters({})), Held({k: dict.fromkeys(keys, 0.5) for k in (0, 1)})
+    whole = pa.Table.from_batches(toxicity._feature_batches(shared, shares)([batch])).to_pylist()
+    monkeypatch.setattr(toxicity, "CUT_BYTES", 20)  # each text by itself
+    parts = pa.Table.from_batches(toxicity._feature_batches(shared, shares)([batch])).to_pylist()
+    assert parts == whole
+    told = {r["feature"]: (r["bad"], r["good"]) for r in whole}
+    assert told["=house"] == (2.0, 1.0) and told["=bright"] == (0.0, 1.0) and told["=idiot"] == (1.0, 0.0)
